@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline this package re-implements has no streaming operators: every
+read is a full scan of a source table or of one stored snapshot, and every
+write replaces a whole snapshot partition.  This namespace is intentionally
+empty; incremental ingestion is not part of the feature set.
+"""
