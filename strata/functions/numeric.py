@@ -37,17 +37,19 @@ def _floor_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast(WIDE_INT)
 
 
-def half_up_ratio(num: Column, den: Column, scale: int, type_: str = "double") -> Column:
-    """``ROUND(num / den, scale)``, half away from zero, computed exactly.
+def half_up_ratio(num: Column, den: Column, scale: int, type_: str = "double", num_scale: int = 0) -> Column:
+    """``ROUND(num / 10^num_scale / den, scale)``, half away from zero, computed exactly.
 
-    ``num`` and ``den`` must be integer-valued (counts, or amounts already
-    scaled to integers).  A zero or NULL denominator yields NULL: the
-    unguarded division of the original returns infinity in one engine and
-    raises in Spark's ANSI mode.
+    ``num`` and ``den`` must be integer-valued: counts, or amounts scaled to
+    integers, ``num_scale`` giving the scaling of ``num`` (2 for cents).  A
+    zero or NULL denominator yields NULL: the unguarded division of the
+    original returns infinity in one engine and raises in Spark's ANSI mode.
     """
     factor = F.lit(10 ** scale).cast(WIDE_INT)
     n = num.cast(WIDE_INT)
     d = F.nullif(den.cast(WIDE_INT), F.lit(0).cast(WIDE_INT))
+    if num_scale:
+        d = d * F.lit(10 ** num_scale).cast(WIDE_INT)
     abs_d = F.abs(d)
     q = _floor_div(F.abs(n) * factor * 2 + abs_d, abs_d * 2)
     signed = F.when((n < 0) != (d < 0), -q).otherwise(q)

@@ -131,7 +131,7 @@ def finance_metrics(lines: DataFrame, run_ts: str, as_of: Column | str | None =
             rounded_money(_wsum(F.when(is_open, net).otherwise(F.lit(0).cast(CENTS)), w), 2, TOTAL)
             .alias("accounts_receivable"),
             F.countDistinct("order_key").alias("order_count"),
-            half_up_ratio(_wsum(cents(net), w), _wcount(net, w), 2, CENTS).alias("average_order_value"),
+            half_up_ratio(_wsum(cents(net), w), _wcount(net, w), 2, CENTS, num_scale=2).alias("average_order_value"),
             rounded_money(sum_net - sum_ext * F.lit(0.8).cast("decimal(1,1)"), 2, TOTAL).alias("estimated_margin"),
             # (N - 0.8 E) / N * 100 with N, E in cents: (100 N - 80 E) / N.
             half_up_ratio(cents(sum_net) * 100 - cents(sum_ext) * 80, cents(sum_net), 2).alias("margin_percentage"),
@@ -175,7 +175,7 @@ def marketing_metrics(lines: DataFrame, run_ts: str, by: Sequence[str] = ("month
     grouped = lines.groupBy(*by).agg(
         F.countDistinct("order_key").alias("order_count"),
         rounded_money(_wsum(net, w), 2, TOTAL).alias("total_revenue"),
-        half_up_ratio(_wsum(cents(net), w), _wcount(net, w), 2, CENTS).alias("avg_order_value"),
+        half_up_ratio(_wsum(cents(net), w), _wcount(net, w), 2, CENTS, num_scale=2).alias("avg_order_value"),
         half_up_ratio(_wsum(late, w) * 100, F.count(F.lit(1)) if w is None else F.sum(w), 2)
         .alias("late_delivery_rate"),
     )

@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows.  Nation and region are bounded by the schema (25 and 5 rows in
-# TPC-H); everything else is left to the planner and AQE, which switch to a
-# broadcast join only from measured runtime sizes.
-BROADCAST_ROW_LIMIT = 100_000
 
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after checking the row bound.
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only after checking a row bound; above it, leave the join to the planner.
 
     The check reads at most ``max_rows + 1`` rows (a pushed-down limit), so
-    it stays cheap however large ``df`` is.  Above the bound the frame is
-    returned unhinted and joins shuffle.
+    it stays cheap however large ``df`` is, but it is a Spark job: the
+    pipeline itself relies on the planner's size thresholds instead and
+    uses this only where a caller wants an explicit guarantee.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

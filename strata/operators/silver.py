@@ -1,4 +1,12 @@
-"""Silver layer: customer and part dimensions, order-line fact."""
+"""Silver layer: customer and part dimensions, order-line fact.
+
+Join strategy is left to the planner: a side is broadcast only when its
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (statically,
+from file sizes) or, under AQE, when its measured shuffle output is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Nation and region (25
+and 5 rows at every scale) always qualify; customer, part, partsupp,
+supplier and orders grow with the data and fall back to shuffle joins.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import CENTS, day_diff, rounded_money
-from strata.operators.joins import broadcast_if_bounded
 from strata.schemas import STAMP
 
 
 def geo(nation: DataFrame, region: DataFrame, nation_label: str, region_label: str) -> DataFrame:
     """Nation with its region name (left join: a nation without region keeps NULL)."""
     return (
-        nation.join(broadcast_if_bounded(region.select("r_regionkey", "r_name")),
-                    F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        nation.join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("n_nationkey", F.col("n_name").alias(nation_label), F.col("r_name").alias(region_label))
     )
 
@@ -25,7 +31,7 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame, run_
     ``full_address`` is NULL when any part is NULL (SQL ``||``), e.g. for a
     customer whose nation is unknown.
     """
-    g = broadcast_if_bounded(geo(nation, region, "nation_name", "region_name"))
+    g = geo(nation, region, "nation_name", "region_name")
     return (
         customer.join(g, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
@@ -45,7 +51,7 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame, run_
 
 
 def supplier_enriched(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    g = broadcast_if_bounded(geo(nation, region, "manufacturing_country", "manufacturing_region"))
+    g = geo(nation, region, "manufacturing_country", "manufacturing_region")
     return supplier.join(g, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
         "s_suppkey",
         F.col("s_name").alias("supplier_name"),

@@ -36,21 +36,28 @@ def _src(spark: SparkSession, sf_dir: str, partsupp: str = "four") -> FixtureSou
     return FixtureSource(spark, sf_dir, partsupp)
 
 
+def _dim_customer(src: FixtureSource, run_ts: str = RUN_TS) -> DataFrame:
+    return S.dim_customer(src.table("customer"), src.table("nation"), src.table("region"), run_ts)
+
+
+def _dim_part(src: FixtureSource, run_ts: str = RUN_TS) -> DataFrame:
+    return S.dim_part(src.table("part"), src.table("partsupp"), src.table("supplier"), src.table("nation"),
+                      src.table("region"), run_ts, with_supplier_key=src.partsupp_mode == "lines")
+
+
+def _fct_orders(src: FixtureSource, run_ts: str = RUN_TS) -> DataFrame:
+    return S.fct_orders(src.table("orders"), src.table("lineitem"), run_ts)
+
+
 def _silver(spark: SparkSession, sf_dir: str, partsupp: str = "four", run_ts: str = RUN_TS):
     src = _src(spark, sf_dir, partsupp)
-    t = {n: src.table(n) for n in SOURCE_TABLES}
-    dc = S.dim_customer(t["customer"], t["nation"], t["region"], run_ts)
-    dp = S.dim_part(t["part"], t["partsupp"], t["supplier"], t["nation"], t["region"], run_ts,
-                    with_supplier_key=partsupp == "lines")
-    fo = S.fct_orders(t["orders"], t["lineitem"], run_ts)
-    return fo, dc, dp
+    return _fct_orders(src, run_ts), _dim_customer(src, run_ts), _dim_part(src, run_ts)
 
 
 def q_finance_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum slice: lines x orders, customer geography, daily finance metrics (no part join)."""
     src = _src(spark, sf_dir)
-    fo = S.fct_orders(src.table("orders"), src.table("lineitem"), RUN_TS)
-    dc = S.dim_customer(src.table("customer"), src.table("nation"), src.table("region"), RUN_TS)
+    fo, dc = _fct_orders(src), _dim_customer(src)
     lines = fo.join(G._customer_side(dc), F.col("customer_key") == F.col("_c_key"), "left")
     return G.finance_metrics(lines, RUN_TS, AS_OF)
 
@@ -63,15 +70,15 @@ def _bronze_query(table: str) -> Query:
 
 
 def q_dim_customer(spark, sf_dir):
-    return _silver(spark, sf_dir)[1]
+    return _dim_customer(_src(spark, sf_dir))
 
 
 def q_dim_part(spark, sf_dir):
-    return _silver(spark, sf_dir)[2]
+    return _dim_part(_src(spark, sf_dir))
 
 
 def q_fct_orders(spark, sf_dir):
-    return _silver(spark, sf_dir)[0]
+    return _fct_orders(_src(spark, sf_dir))
 
 
 def q_wide_order_details(spark, sf_dir):
@@ -120,9 +127,10 @@ def q_marketing_by_region(spark, sf_dir):
 def _two_snapshots(spark, sf_dir, name: str) -> SnapshotStore:
     """Write table ``name`` under two run stamps in a fresh store."""
     store = SnapshotStore(spark, scratch_dir(spark, "snapshots"))
-    idx = {"fct_orders": 0, "dim_customer": 1, "dim_part": 2}[name]
+    build = {"fct_orders": _fct_orders, "dim_customer": _dim_customer, "dim_part": _dim_part}[name]
+    src = _src(spark, sf_dir)
     for ts in (RUN_TS, RUN_TS_NEXT):
-        store.write(_silver(spark, sf_dir, run_ts=ts)[idx], "silver", name)
+        store.write(build(src, ts), "silver", name)
     return store
 
 
