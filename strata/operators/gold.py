@@ -165,31 +165,48 @@ def top_brands(lines: DataFrame, by: Sequence[str] = ("month", "market_segment")
 def marketing_metrics(lines: DataFrame, run_ts: str, by: Sequence[str] = ("month", "market_segment")) -> DataFrame:
     """Monthly orders, revenue, average line value, late rate and top brand per segment.
 
-    The top brand is joined with plain equality: a group whose segment is
-    NULL gets no top brand.
+    One pass over the lines: a grouping-sets aggregate yields, from the same
+    scan and joins, one row per (group, order) for the order metrics and one
+    row per (group, brand) for the brand counts; a second aggregate folds
+    both into one row per group.  The top brand is the brand with most lines,
+    ties broken by name (NULL brand last), i.e. ``ROW_NUMBER() OVER (...
+    ORDER BY count DESC, brand) = 1``.  As in the original left join on
+    plain equality, a group with a NULL key gets no top brand.
     """
     w = _w(lines)
     lines = _month_lines(lines)
     net = F.col("net_amount")
     late = F.when(F.col("is_late_delivery"), F.lit(1)).otherwise(F.lit(0))
-    grouped = lines.groupBy(*by).agg(
-        F.countDistinct("order_key").alias("order_count"),
-        rounded_money(_wsum(net, w), 2, TOTAL).alias("total_revenue"),
-        half_up_ratio(_wsum(cents(net), w), _wcount(net, w), 2, CENTS, num_scale=2).alias("avg_order_value"),
-        half_up_ratio(_wsum(late, w) * 100, F.count(F.lit(1)) if w is None else F.sum(w), 2)
-        .alias("late_delivery_rate"),
+    rows = F.count(F.lit(1)) if w is None else F.sum(w)
+    per = lines.groupingSets([[*by, "order_key"], [*by, "brand"]], *by, "order_key", "brand").agg(
+        F.grouping("brand").alias("_order_level"),
+        _wsum(net, w).alias("_net"),
+        _wsum(cents(net), w).alias("_cents"),
+        _wcount(net, w).alias("_n_net"),
+        _wsum(late, w).alias("_late"),
+        rows.alias("_rows"),
     )
-    best = (
-        top_brands(lines, by)
-        .where(F.col("rn") == 1)
-        .select(*[F.col(c).alias(f"_tb_{c}") for c in by], F.col("brand").alias("top_brand"))
-    )
-    cond = None
+    order_level = F.col("_order_level") == 1
+
+    def o(c: str) -> Column:
+        return F.when(order_level, F.col(c))
+
+    best = F.min(F.when(~order_level, F.struct((-F.col("_rows")).alias("r"),
+                                                 F.col("brand").isNull().alias("z"), F.col("brand").alias("b"))))
+    keys_present = None
     for c in by:
-        e = F.col(c) == F.col(f"_tb_{c}")
-        cond = e if cond is None else cond & e
+        e = F.col(c).isNotNull()
+        keys_present = e if keys_present is None else keys_present & e
     return (
-        grouped.join(best, cond, "left")
-        .select(*by, "order_count", "total_revenue", "avg_order_value", "late_delivery_rate", "top_brand")
+        per.groupBy(*by)
+        .agg(
+            F.count(o("order_key")).alias("order_count"),
+            rounded_money(F.sum(o("_net")), 2, TOTAL).alias("total_revenue"),
+            half_up_ratio(F.sum(o("_cents")), F.sum(o("_n_net")), 2, CENTS, num_scale=2).alias("avg_order_value"),
+            half_up_ratio(F.sum(o("_late")) * 100, F.sum(o("_rows")), 2).alias("late_delivery_rate"),
+            best.alias("_best"),
+        )
+        .select(*by, "order_count", "total_revenue", "avg_order_value", "late_delivery_rate",
+                F.when(keys_present, F.col("_best.b")).alias("top_brand"))
         .withColumn(STAMP, F.lit(run_ts))
     )
