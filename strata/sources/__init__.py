@@ -1,6 +1,7 @@
 """Source connectors.  Every source exposes ``table(name) -> DataFrame``."""
 
 from strata.sources.fixtures import FixtureSource
+from strata.sources.parquet import ParquetSource
 from strata.sources.jdbc import JdbcConfig, JdbcSource, SourceConfigError, split_table_name
 from strata.sources.tbl import TblSource, read_tbl, write_tbl
 
@@ -8,6 +9,7 @@ __all__ = [
     "FixtureSource",
     "JdbcConfig",
     "JdbcSource",
+    "ParquetSource",
     "SourceConfigError",
     "TblSource",
     "read_tbl",
