@@ -125,25 +125,31 @@ class FixtureSource:
         self.partsupp_mode = partsupp
         self.min_splits = spark.sparkContext.defaultParallelism if min_splits is None else min_splits
         self._splits: dict[str, int] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         key = self.GROWING.get(name)
         if key and self.min_splits > 1:
             if name not in self._splits:
-                self._splits[name] = df.rdd.getNumPartitions()
+                try:
+                    self._splits[name] = df.rdd.getNumPartitions()
+                except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+                    self._splits[name] = self.min_splits
             if self._splits[name] < self.min_splits:
                 df = df.repartition(self.min_splits, key)
         return df
 
     def table(self, name: str) -> DataFrame:
-        if name == "partsupp":
-            return self._partsupp()
-        try:
-            exprs = FIXTURE_PROJECTIONS[name]
-        except KeyError:
-            raise KeyError(f"unknown source table {name!r}") from None
-        return self.raw(name).selectExpr(*exprs)
+        """The typed table; built once per source (DataFrames are immutable plans)."""
+        if name not in self._tables:
+            if name == "partsupp":
+                self._tables[name] = self._partsupp()
+            elif name in FIXTURE_PROJECTIONS:
+                self._tables[name] = self.raw(name).selectExpr(*FIXTURE_PROJECTIONS[name])
+            else:
+                raise KeyError(f"unknown source table {name!r}")
+        return self._tables[name]
 
     def _partsupp(self) -> DataFrame:
         if self.partsupp_mode == "lines":

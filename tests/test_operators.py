@@ -245,3 +245,13 @@ def test_exact_averages_agree_with_builtin_avg(spark):
     )
     assert got.where(F.col("mine") != F.col("builtin")).count() == 0
     assert got.count() > 100
+
+
+def test_splittable_left_join_equals_left_join(spark):
+    from tests.helpers import spark_table
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k long, v string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (3, 30), (None, 99), (4, 40)], "rk long, w int")
+    got = S._left_join_splittable(left, right, "k", "rk")
+    want = left.join(right, F.col("k") == F.col("rk"), "left")
+    assert spark_table(got) == spark_table(want)
