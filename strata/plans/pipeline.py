@@ -11,6 +11,7 @@ DataFrames are handed over in memory and nothing is written.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -82,7 +83,9 @@ class Runner:
         if self.ctx.validate:
             validate(spec.name, df, spec.keys)
         if self.ctx.load_data:
+            t0 = time.perf_counter()
             self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
+            log.info("wrote %s.%s in %.2fs", spec.layer, spec.name, time.perf_counter() - t0)
             out = self.ctx.store.read_partition(spec.layer, spec.name, {STAMP: self.ctx.run_ts},
                                                 data_format=spec.data_format)
         else:
