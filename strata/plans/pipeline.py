@@ -87,7 +87,7 @@ class Runner:
             self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
             log.info("wrote %s.%s in %.2fs", spec.layer, spec.name, time.perf_counter() - t0)
             out = self.ctx.store.read_partition(spec.layer, spec.name, {STAMP: self.ctx.run_ts},
-                                                data_format=spec.data_format)
+                                                schema=df.schema, data_format=spec.data_format)
         else:
             out = df
             if self.ctx.cache_shared and self._consumers.get(name, 0) > 1:

@@ -11,6 +11,7 @@ stamp is always read as a string; its type is never inferred.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,11 @@ class SnapshotStore:
         path = self.path(layer, name)
         fmt = data_format or self.data_format
         reader = self.spark.read.format(fmt)
+        if schema is not None:
+            schema = T.StructType(
+                [f for f in schema.fields if f.name not in partition_keys]
+                + [T.StructField(k, T.StringType(), True) for k in partition_keys]
+            )
         try:
             if schema is None:
                 # Learn the data columns from the files, then pin every
@@ -67,22 +73,40 @@ class SnapshotStore:
                 raise SnapshotNotFound(f"no snapshot found under {path}") from e
             raise
 
+    def stamps(self, layer: str, name: str, schema: T.StructType | None = None,
+               data_format: str | None = None) -> list[str]:
+        """All stored ``etl_inserted`` values, oldest first.
+
+        Taken from the file listing Spark already holds on the driver (the
+        partition directory names), so no job runs and no data or footer is
+        read, however many snapshots exist.  Partitions without files (an
+        empty write creates none) are not listed.
+        """
+        df = self._load(layer, name, (STAMP,), schema, data_format)
+        prefix = f"{STAMP}="
+        # inputFiles() are URIs of escaped directory names: decode the URI,
+        # then Spark's partition-path escaping (":" is stored as "%3A").
+        found = {
+            unquote(unquote(seg)[len(prefix):])
+            for f in df.inputFiles()
+            for seg in f.split("/")
+            if seg.startswith(prefix)
+        }
+        return sorted(found)
+
     def latest_stamp(self, layer: str, name: str, schema: T.StructType | None = None,
                      data_format: str | None = None) -> str:
-        """The greatest ``etl_inserted`` value present (a one-row aggregate on partition values)."""
-        df = self._load(layer, name, (STAMP,), schema, data_format)
-        latest = df.agg(F.max(STAMP)).first()[0]
-        if latest is None:
+        """The greatest ``etl_inserted`` value present."""
+        found = self.stamps(layer, name, schema, data_format)
+        if not found:
             raise SnapshotNotFound(f"no snapshot found under {self.path(layer, name)}")
-        return latest
+        return found[-1]
 
     def read_latest(self, layer: str, name: str, schema: T.StructType | None = None,
                     data_format: str | None = None) -> DataFrame:
         """Rows of the most recent snapshot; the scan is pruned to that partition."""
+        latest = self.latest_stamp(layer, name, schema, data_format)
         df = self._load(layer, name, (STAMP,), schema, data_format)
-        latest = df.agg(F.max(STAMP)).first()[0]
-        if latest is None:
-            raise SnapshotNotFound(f"no snapshot found under {self.path(layer, name)}")
         return df.where(F.col(STAMP) == F.lit(latest))
 
     def read_partition(self, layer: str, name: str, partition_values: Mapping[str, str],

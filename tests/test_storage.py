@@ -30,6 +30,8 @@ def test_latest_wins_and_named_partition(spark, tmp_root):
     assert {r.etl_inserted for r in latest.collect()} == {T2}
     assert dict(latest.dtypes)["etl_inserted"] == "string"  # never inferred as a timestamp
     assert store.latest_stamp("bronze", "t") == T2
+    assert store.stamps("bronze", "t") == [T1, T2]  # '2023-01-01T12:00:00' is stored as '...T12%3A00%3A00...'
+    assert store.latest_stamp("bronze", "t") == latest.agg(F.max("etl_inserted")).first()[0]
     first = store.read_partition("bronze", "t", {"etl_inserted": T1})
     assert first.count() == 3
     assert latest.columns == ["k", "v", "etl_inserted"]
@@ -115,3 +117,11 @@ def test_jdbc_reader_options(spark):
     src = JdbcSource(spark, JdbcConfig("db", "5432", "tpch", "u", "p"))
     opts = src.options("lineitem")
     assert opts["dbtable"] == "public.lineitem" and opts["url"] == "jdbc:postgresql://db:5432/tpch"
+
+
+def test_stamp_with_escaped_characters_round_trips(spark, tmp_root):
+    store = SnapshotStore(spark, tmp_root)
+    odd = "2024-05-06 07:08:09%x/y"
+    store.write(_frame(spark, odd, 2), "bronze", "odd")
+    assert store.latest_stamp("bronze", "odd") == odd
+    assert store.read_latest("bronze", "odd").count() == 2
