@@ -46,12 +46,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--marts-from-wide", action="store_true", help="feed the marts from the wide table")
     ap.add_argument("--table", action="append", help="build only these tables (and what they need)")
     ap.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
+    ap.add_argument("--cluster-profile", action="store_true",
+                    help="apply the large-cluster settings (strata.session.CLUSTER_CONF)")
     args = ap.parse_args(argv)
     if not args.root and not args.dry_run:
         ap.error("--root (or STRATA_ROOT) is required unless --dry-run")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    spark = build_session(args.master)
+    spark = build_session(args.master, cluster=args.cluster_profile)
     ctx = RunContext(
         spark=spark,
         source=_source(spark, args.source, args.source_dir),

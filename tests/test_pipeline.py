@@ -81,3 +81,10 @@ def test_cycle_is_reported(spark):
              "b": T.TableSpec("b", "x", (), ("a",), lambda c, u: u["a"])}
     with pytest.raises(ValueError, match="cycle"):
         Runner(_ctx(spark, load_data=False), specs).run("a")
+
+
+def test_command_line_dry_run(spark):
+    from strata.__main__ import main
+
+    assert main(["--dry-run", "--source", "fixture", "--source-dir", SF_SMALL, "--as-of", AS_OF,
+                 "--table", "dim_customer"]) == 0
