@@ -51,20 +51,28 @@ def build_session(
     """Create (or reuse) a session with the pipeline's defaults.
 
     Pass ``master`` for local runs (``local[8]``); on a cluster leave it
-    ``None`` so spark-submit decides.
+    ``None`` so spark-submit decides.  The defaults (and ``CLUSTER_CONF``
+    with ``cluster=True``) only fill keys the launch configuration
+    (spark-defaults.conf, ``--conf``) leaves unset; ``shuffle_partitions``
+    and ``extra_conf`` are explicit and always applied.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if cluster:
-        conf.update(CLUSTER_CONF)
-    if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for k, v in conf.items():
+    for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    if "spark.ui.enabled" not in (extra_conf or {}):
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
+    launch = spark.sparkContext.getConf()
+    defaults = {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}
+    defaults.pop("spark.ui.enabled", None)
+    for k, v in defaults.items():
+        if k not in (extra_conf or {}) and not launch.contains(k):
+            spark.conf.set(k, v)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return spark
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
