@@ -54,12 +54,48 @@ def key_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFra
     return out
 
 
-def validate(name: str, df: DataFrame, keys: Sequence[str]) -> dict:
-    """Raise ``InvalidDataError`` if ``df`` has NULL or duplicate keys; else return the summary."""
+RULE_COLUMNS = ("table_name", "rule", "checked_rows", "failed_rows")
+
+
+def rule_summary(name: str, df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """One row per rule: rows checked and rows failing it, from a single aggregation.
+
+    A rule is a SQL boolean expression every row must satisfy; a row fails
+    when the expression is false or NULL.
+    """
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, expr in enumerate(rules.values()):
+        aggs.append(F.count(F.when(~F.coalesce(F.expr(expr), F.lit(False)), F.lit(1))).alias(f"_r{i}"))
+    counts = df.agg(*aggs)
+    stack = ", ".join(f"'{r}', _r{i}" for i, r in enumerate(rules))
+    return counts.selectExpr(
+        f"'{name}' AS table_name", f"stack({len(rules)}, {stack}) AS (rule, failed_rows)", "_rows AS checked_rows"
+    ).select(*RULE_COLUMNS)
+
+
+def rule_report(tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Union of ``rule_summary`` over ``{name: (frame, rules)}`` (tables without rules skipped)."""
+    parts = [rule_summary(n, df, rules) for n, (df, rules) in tables.items() if rules]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def validate(name: str, df: DataFrame, keys: Sequence[str], rules: Mapping[str, str] | None = None) -> dict:
+    """Raise ``InvalidDataError`` on NULL or duplicate keys or failed rules; else return the summary.
+
+    Two small aggregation jobs: the key summary, then all rule counts in one pass.
+    """
     row = key_summary(name, df, keys).first().asDict()
+    problems = []
     if row["null_key_rows"] or row["duplicate_key_values"]:
-        raise InvalidDataError(
-            f"{name}: {row['null_key_rows']} rows with NULL key, "
-            f"{row['duplicate_key_values']} duplicated key values on {list(keys)}"
-        )
+        problems.append(f"{row['null_key_rows']} rows with NULL key, "
+                        f"{row['duplicate_key_values']} duplicated key values on {list(keys)}")
+    if rules:
+        failed = {r.rule: r.failed_rows for r in rule_summary(name, df, rules).collect() if r.failed_rows}
+        row["failed_rules"] = failed
+        problems += [f"rule {k!r} failed on {v} rows" for k, v in failed.items()]
+    if problems:
+        raise InvalidDataError(f"{name}: " + "; ".join(problems))
     return row

@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import dashboards as D
-from strata.operators.quality import key_report, validate
+from strata.operators.quality import key_report, rule_report, validate
 from strata.plans.snapshots import SnapshotStore
 from strata.plans.tables import TableSpec, table_specs
 from strata.schemas import STAMP
@@ -81,7 +81,7 @@ class Runner:
         log.info("building %s.%s", spec.layer, spec.name)
         df = spec.build(self.ctx, inputs)
         if self.ctx.validate:
-            validate(spec.name, df, spec.keys)
+            validate(spec.name, df, spec.keys, spec.rules)
         if self.ctx.load_data:
             t0 = time.perf_counter()
             self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
@@ -101,9 +101,13 @@ class Runner:
         return dict(self.built)
 
     def key_report(self) -> DataFrame:
-        """Validation summary over every table built in this run."""
+        """Key summary over every table built in this run."""
         return key_report({n: (df, self.specs[n].keys) for n, df in self.built.items()})
 
+    def rule_report(self) -> DataFrame:
+        """Column-rule summary over every table built in this run that declares rules."""
+        return rule_report({n: (df, self.specs[n].rules) for n, df in self.built.items()})
+
 
 def run_pipeline(ctx: RunContext, finance_export: str | None = None,
                  marketing_export: str | None = None) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ graph (``strata.plans.pipeline``) walks these specs.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
@@ -33,9 +33,37 @@ class TableSpec:
     build: Build
     partition_keys: tuple[str, ...] = (STAMP,)
     data_format: str = "parquet"
+    rules: Mapping[str, str] = field(default_factory=dict)
     doc: str = field(default="", compare=False)
 
 
+# Column rules checked by validation: name -> SQL boolean every row must satisfy
+# (a NULL result fails).
+RULES: dict[str, dict[str, str]] = {
+    "dim_customer": {
+        "segment_present": "market_segment IS NOT NULL",
+        "nation_resolved": "nation_name IS NOT NULL",
+    },
+    "dim_part": {
+        "retail_price_positive": "retail_price > 0",
+    },
+    "fct_orders": {
+        "quantity_non_negative": "quantity >= 0",
+        "discount_in_range": "discount_percentage BETWEEN 0 AND 1",
+        "tax_non_negative": "tax_percentage >= 0",
+        "status_known": "order_status IN ('F', 'O', 'P')",
+        "net_amount_present": "net_amount IS NOT NULL",
+    },
+    "finance_metrics": {
+        "orders_counted": "order_count > 0",
+        "revenue_non_negative": "total_revenue >= 0",
+    },
+    "marketing_metrics": {
+        "late_rate_in_range": "late_delivery_rate BETWEEN 0 AND 100",
+    },
+}
+
+
 def _bronze_spec(table: str) -> TableSpec:
     return TableSpec(
         name=table,
@@ -97,4 +125,4 @@ def table_specs(mart_input: str = "silver") -> dict[str, TableSpec]:
         TableSpec("finance_metrics", "gold", ("dt", "customer_nation", "customer_region"), mart_up, _finance),
         TableSpec("marketing_metrics", "gold", ("month", "market_segment"), mart_up, _marketing),
     ]
-    return {s.name: s for s in specs}
+    return {s.name: (replace(s, rules=RULES[s.name]) if s.name in RULES else s) for s in specs}

@@ -165,6 +165,13 @@ def q_key_violations(spark, sf_dir):
     return runner.key_report()
 
 
+def q_rule_violations(spark, sf_dir):
+    """Column-rule report (rows checked, rows failing) over the tables of a dry run."""
+    runner = Runner(_dry_context(spark, sf_dir))
+    runner.run_all()
+    return runner.rule_report()
+
+
 def _tbl_round_trip(table: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = _src(spark, sf_dir).table(table)
@@ -213,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "finance_dashboard": q_finance_dashboard,
     "marketing_dashboard": q_marketing_dashboard,
     "key_violations": q_key_violations,
+    "rule_violations": q_rule_violations,
     "tbl_load_nation": _tbl_round_trip("nation"),
     "tbl_load_lineitem": _tbl_round_trip("lineitem"),
     "pipeline_finance": q_pipeline_finance,

@@ -113,3 +113,15 @@ def test_pipeline_from_tbl_files_with_a_missing_table(spark, tmp_root):
     assert dp.where(F.col("supplier_name").isNotNull()).count() == 0
     # No offers: every line has weight 1, so the mart equals the no-part-join slice.
     assert spark_table(out["finance_metrics"]) == spark_table(q_finance_core(spark, SF_SMALL))
+
+
+def test_column_rules_count_false_and_null_as_failures(spark):
+    from strata.operators.quality import rule_summary, validate
+
+    df = spark.createDataFrame([(1, 0.5), (2, 1.5), (3, None)], "k long, d double")
+    rows = {r.rule: r for r in rule_summary("t", df, {"in_range": "d BETWEEN 0 AND 1", "k_set": "k IS NOT NULL"}).collect()}
+    assert (rows["in_range"].checked_rows, rows["in_range"].failed_rows) == (3, 2)
+    assert rows["k_set"].failed_rows == 0
+    with pytest.raises(InvalidDataError, match="in_range"):
+        validate("t", df, ("k",), {"in_range": "d BETWEEN 0 AND 1"})
+    assert validate("t", df, ("k",), {"k_set": "k IS NOT NULL"})["row_count"] == 3

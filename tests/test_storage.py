@@ -125,3 +125,16 @@ def test_stamp_with_escaped_characters_round_trips(spark, tmp_root):
     store.write(_frame(spark, odd, 2), "bronze", "odd")
     assert store.latest_stamp("bronze", "odd") == odd
     assert store.read_latest("bronze", "odd").count() == 2
+
+
+def test_parquet_source_casts_to_ddl_types(spark, tmp_root):
+    from strata.sources import ParquetSource
+
+    raw = spark.createDataFrame([(1, 2, 12.345, dt.datetime(1998, 1, 2, 0, 0))],
+                                "o_orderkey int, o_custkey int, o_totalprice double, o_orderdate timestamp")
+    raw.write.parquet(f"{tmp_root}/orders.parquet")
+    df = ParquetSource(spark, tmp_root).table("orders")
+    types = dict(df.dtypes)
+    assert types == {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(15,2)",
+                     "o_orderdate": "date"}
+    assert df.first().o_totalprice == Decimal("12.35")
