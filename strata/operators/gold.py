@@ -45,6 +45,11 @@ def _customer_side(dim_customer: DataFrame) -> DataFrame:
     )
 
 
+def customer_lines(fct: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Order lines with the customer's name, segment, nation and region (no part join)."""
+    return fct.join(_customer_side(dim_customer), F.col("customer_key") == F.col("_c_key"), "left").drop("_c_key")
+
+
 def wide_order_details(
     fct: DataFrame,
     dim_customer: DataFrame,

@@ -58,8 +58,7 @@ def q_finance_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum slice: lines x orders, customer geography, daily finance metrics (no part join)."""
     src = _src(spark, sf_dir)
     fo, dc = _fct_orders(src), _dim_customer(src)
-    lines = fo.join(G._customer_side(dc), F.col("customer_key") == F.col("_c_key"), "left")
-    return G.finance_metrics(lines, RUN_TS, AS_OF)
+    return G.finance_metrics(G.customer_lines(fo, dc), RUN_TS, AS_OF)
 
 
 def _bronze_query(table: str) -> Query:
