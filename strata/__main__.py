@@ -43,7 +43,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--dry-run", action="store_true", help="build every table without writing")
     ap.add_argument("--from-snapshots", action="store_true", help="read upstream tables from stored snapshots")
     ap.add_argument("--validate", action="store_true", help="check keys before each write")
-    ap.add_argument("--marts-from-wide", action="store_true", help="feed the marts from the wide table")
+    ap.add_argument("--mart-input", choices=("auto", "wide", "silver"), default="auto",
+                    help="marts read the wide table or the silver tables with fan-out weights "
+                         "(auto: wide when tables are written, silver in a dry run)")
     ap.add_argument("--table", action="append", help="build only these tables (and what they need)")
     ap.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--cluster-profile", action="store_true",
@@ -62,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
         run_upstream=not args.from_snapshots,
         load_data=not args.dry_run,
         validate=args.validate,
-        mart_input="wide" if args.marts_from_wide else "silver",
+        mart_input=args.mart_input,
     )
     if args.run_ts:
         ctx.run_ts = args.run_ts

@@ -44,16 +44,25 @@ class RunContext:
     load_data: bool = True
     validate: bool = False
     part_match: str = "part"
-    mart_input: str = "silver"
+    mart_input: str = "auto"
     cache_shared: bool = False
 
+    @property
+    def resolved_mart_input(self) -> str:
+        """``auto``: marts read the stored wide table when the run writes it
+        (a pruned scan, no joins), and the silver tables with fan-out
+        weights in a dry run (nothing fanned out is ever materialised)."""
+        if self.mart_input == "auto":
+            return "wide" if self.load_data else "silver"
+        return self.mart_input
+
 
 class Runner:
     def __init__(self, ctx: RunContext, specs: dict[str, TableSpec] | None = None) -> None:
         if ctx.load_data and ctx.store is None:
             raise ValueError("load_data=True needs a snapshot store")
         self.ctx = ctx
-        self.specs = specs or table_specs(ctx.mart_input)
+        self.specs = specs or table_specs(ctx.resolved_mart_input)
         self.built: dict[str, DataFrame] = {}
         self._consumers = {n: 0 for n in self.specs}
         for s in self.specs.values():
@@ -84,7 +93,12 @@ class Runner:
             validate(spec.name, df, spec.keys, spec.rules)
         if self.ctx.load_data:
             t0 = time.perf_counter()
-            self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
+            sc = self.ctx.spark.sparkContext
+            sc.setJobDescription(f"write {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
+            try:
+                self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
+            finally:
+                sc.setJobDescription(None)
             log.info("wrote %s.%s in %.2fs", spec.layer, spec.name, time.perf_counter() - t0)
             out = self.ctx.store.read_partition(spec.layer, spec.name, {STAMP: self.ctx.run_ts},
                                                 schema=df.schema, data_format=spec.data_format)
