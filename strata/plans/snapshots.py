@@ -73,16 +73,8 @@ class SnapshotStore:
                 raise SnapshotNotFound(f"no snapshot found under {path}") from e
             raise
 
-    def stamps(self, layer: str, name: str, schema: T.StructType | None = None,
-               data_format: str | None = None) -> list[str]:
-        """All stored ``etl_inserted`` values, oldest first.
-
-        Taken from the file listing Spark already holds on the driver (the
-        partition directory names), so no job runs and no data or footer is
-        read, however many snapshots exist.  Partitions without files (an
-        empty write creates none) are not listed.
-        """
-        df = self._load(layer, name, (STAMP,), schema, data_format)
+    @staticmethod
+    def _stamps_of(df: DataFrame) -> list[str]:
         prefix = f"{STAMP}="
         # inputFiles() are URIs of escaped directory names: decode the URI,
         # then Spark's partition-path escaping (":" is stored as "%3A").
@@ -94,6 +86,17 @@ class SnapshotStore:
         }
         return sorted(found)
 
+    def stamps(self, layer: str, name: str, schema: T.StructType | None = None,
+               data_format: str | None = None) -> list[str]:
+        """All stored ``etl_inserted`` values, oldest first.
+
+        Taken from the file listing Spark already holds on the driver (the
+        partition directory names), so no job runs and no data or footer is
+        read, however many snapshots exist.  Partitions without files (an
+        empty write creates none) are not listed.
+        """
+        return self._stamps_of(self._load(layer, name, (STAMP,), schema, data_format))
+
     def latest_stamp(self, layer: str, name: str, schema: T.StructType | None = None,
                      data_format: str | None = None) -> str:
         """The greatest ``etl_inserted`` value present."""
@@ -105,9 +108,11 @@ class SnapshotStore:
     def read_latest(self, layer: str, name: str, schema: T.StructType | None = None,
                     data_format: str | None = None) -> DataFrame:
         """Rows of the most recent snapshot; the scan is pruned to that partition."""
-        latest = self.latest_stamp(layer, name, schema, data_format)
         df = self._load(layer, name, (STAMP,), schema, data_format)
-        return df.where(F.col(STAMP) == F.lit(latest))
+        found = self._stamps_of(df)
+        if not found:
+            raise SnapshotNotFound(f"no snapshot found under {self.path(layer, name)}")
+        return df.where(F.col(STAMP) == F.lit(found[-1]))
 
     def read_partition(self, layer: str, name: str, partition_values: Mapping[str, str],
                        schema: T.StructType | None = None, data_format: str | None = None) -> DataFrame:

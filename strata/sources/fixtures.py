@@ -97,6 +97,9 @@ PARTSUPP_LINES_SUPPLYCOST = (
 
 PARTSUPP_MODES = ("four", "lines")
 
+# Input split count per file, probed once per process (the files are read-only).
+_SPLITS: dict[str, int] = {}
+
 
 class FixtureSource:
     """Reads ``{sf_dir}/{table}.parquet`` and returns TPC-H typed tables.
@@ -124,19 +127,19 @@ class FixtureSource:
         self.sf_dir = sf_dir.rstrip("/")
         self.partsupp_mode = partsupp
         self.min_splits = spark.sparkContext.defaultParallelism if min_splits is None else min_splits
-        self._splits: dict[str, int] = {}
         self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        df = self.spark.read.parquet(path)
         key = self.GROWING.get(name)
         if key and self.min_splits > 1:
-            if name not in self._splits:
+            if path not in _SPLITS:
                 try:
-                    self._splits[name] = df.rdd.getNumPartitions()
+                    _SPLITS[path] = df.rdd.getNumPartitions()
                 except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-                    self._splits[name] = self.min_splits
-            if self._splits[name] < self.min_splits:
+                    _SPLITS[path] = self.min_splits
+            if _SPLITS[path] < self.min_splits:
                 df = df.repartition(self.min_splits, key)
         return df
 
