@@ -58,3 +58,65 @@ def test_fan_out_rows_equal_offers_per_line(spark):
         .first().n
     )
     assert wide.count() == expected == 4 * fct.count()
+
+
+_D = Decimal
+_PART = "p_partkey long, p_name string, p_mfgr string, p_brand string, p_type string, p_size int, " \
+        "p_container string, p_retailprice decimal(15,2)"
+_PS = "ps_partkey long, ps_suppkey long, ps_availqty int, ps_supplycost decimal(15,2)"
+_SUP = "s_suppkey long, s_name string, s_nationkey int, s_acctbal decimal(15,2)"
+_NAT = "n_nationkey int, n_name string, n_regionkey int"
+_REG = "r_regionkey int, r_name string"
+_CUST = "c_custkey long, c_name string, c_address string, c_nationkey int, c_phone string, " \
+        "c_acctbal decimal(15,2), c_mktsegment string"
+_ORD = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(15,2), " \
+       "o_orderdate date, o_orderpriority string"
+_LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity decimal(15,2), " \
+        "l_extendedprice decimal(15,2), l_discount decimal(15,2), l_tax decimal(15,2), l_returnflag string, " \
+        "l_linestatus string, l_shipdate date, l_commitdate date, l_receiptdate date, l_shipmode string"
+
+world = st.fixed_dictionaries({
+    "offers": st.lists(st.integers(0, 3), min_size=4, max_size=4),          # offers per part 0..3
+    "brands": st.lists(st.sampled_from(["B1", "B2", None]), min_size=4, max_size=4),
+    "segments": st.lists(st.sampled_from(["AUTO", "HOUSE", None]), min_size=3, max_size=3),
+    "orders": st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["F", "O", None]), st.integers(0, 40)),
+                       min_size=1, max_size=6),                             # (customer, status, day)
+    "lines": st.lists(st.tuples(st.integers(0, 5), st.integers(0, 4), st.integers(1, 99999),
+                                st.integers(0, 10), st.integers(0, 8), st.sampled_from([-3, 5, None])),
+                      min_size=1, max_size=25),                             # (order, part, cents, disc, tax, late)
+})
+
+
+@settings(max_examples=4, deadline=None)
+@given(world)
+def test_weighted_marts_equal_marts_over_fanned_out_table(spark, w):
+    import datetime as dt
+
+    from strata.operators import silver as S
+    from tests.helpers import spark_table
+
+    part = spark.createDataFrame(
+        [(p, f"P{p}", "M", w["brands"][p], "T", 1, "BOX", _D("1.00")) for p in range(4)], _PART)
+    partsupp = spark.createDataFrame(
+        [(p, s, 1, _D("1.00")) for p in range(4) for s in range(w["offers"][p])], _PS)
+    supplier = spark.createDataFrame([(s, f"S{s}", 0, _D("0")) for s in range(3)], _SUP)
+    nation = spark.createDataFrame([(0, "N0", 0), (1, "N1", 1)], _NAT)
+    region = spark.createDataFrame([(0, "R0")], _REG)
+    customer = spark.createDataFrame(  # customer 3 does not exist; customer 2 has an unknown nation
+        [(c, f"C{c}", "A", c % 2 if c < 2 else 7, "p", _D("0"), w["segments"][c]) for c in range(3)], _CUST)
+    d0 = dt.date(2001, 1, 28)
+    orders = spark.createDataFrame(
+        [(o, c, s, _D("1"), d0 + dt.timedelta(days=day), "1") for o, (c, s, day) in enumerate(w["orders"])], _ORD)
+    lines = spark.createDataFrame(
+        [(o, p, 0, i, _D("1"), _D(cents) / 100, _D(disc) / 100, _D(tax) / 100, "N", "O", d0, d0,
+          None if late is None else d0 + dt.timedelta(days=late), "AIR")
+         for i, (o, p, cents, disc, tax, late) in enumerate(w["lines"])], _LINE)
+    fct = S.fct_orders(orders, lines, "t")
+    dc = S.dim_customer(customer, nation, region, "t")
+    dp = S.dim_part(part, partsupp, supplier, nation, region, "t")
+    wide = G.wide_order_details(fct, dc, dp, "t")
+    weighted = G.mart_lines(fct, dc, dp)
+    assert spark_table(G.finance_metrics(weighted, "t", "2002-01-01")) == \
+        spark_table(G.finance_metrics(wide, "t", "2002-01-01"))
+    assert spark_table(G.marketing_metrics(weighted, "t")) == spark_table(G.marketing_metrics(wide, "t"))
+    assert spark_table(G.top_brands(weighted)) == spark_table(G.top_brands(wide))
