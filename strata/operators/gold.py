@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import CENTS, TOTAL, cents, half_up_ratio, month_start, rounded_money
+from strata.operators.joins import left_join_splittable
 from strata.schemas import STAMP
 
 PART_MATCHES = ("part", "part_supplier")
@@ -63,15 +64,14 @@ def wide_order_details(
     part_cols = ["part_name", "manufacturer", "brand", "product_type", "manufacturing_country", "manufacturing_region"]
     if part_match == "part":
         p = dim_part.select(F.col("part_key").alias("_p_key"), *part_cols)
-        cond = F.col("part_key") == F.col("_p_key")
+        lkeys, rkeys = ["part_key"], ["_p_key"]
     else:
         p = dim_part.select(F.col("part_key").alias("_p_key"), F.col("supplier_key").alias("_s_key"), *part_cols)
-        cond = (F.col("part_key") == F.col("_p_key")) & (F.col("supplier_key") == F.col("_s_key"))
-    return (
-        fct.join(_customer_side(dim_customer), F.col("customer_key") == F.col("_c_key"), "left")
-        .join(p, cond, "left")
-        .select(*WIDE_COLUMNS, F.lit(run_ts).alias(STAMP))
-    )
+        lkeys, rkeys = ["part_key", "supplier_key"], ["_p_key", "_s_key"]
+    # The part side is the one that can be hot (many offers of one part):
+    # joined so AQE can split it (see left_join_splittable).
+    return left_join_splittable(customer_lines(fct, dim_customer), p, lkeys, rkeys).select(
+        *WIDE_COLUMNS, F.lit(run_ts).alias(STAMP))
 
 
 def mart_lines(fct: DataFrame, dim_customer: DataFrame, dim_part: DataFrame, part_match: str = "part") -> DataFrame:

@@ -1,0 +1,38 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def left_join_splittable(left: DataFrame, right: DataFrame,
+                         left_keys: Sequence[str], right_keys: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right ON left_keys = right_keys``, written so a hot key on either side can be split.
+
+    AQE's skew join splits a skewed partition only on the preserved side of
+    an outer join, so a key holding a large share of the *right* rows (many
+    offers of one part) would land in one task.  The same rows come from an
+    inner join (AQE can split both sides) plus the left rows without a match:
+    an anti join against the de-duplicated right keys, partially aggregated
+    before their shuffle.  Equality is plain: NULL keys never match and such
+    left rows come back with NULL right columns, as in the outer join.
+    """
+    if len(left_keys) != len(right_keys) or not left_keys:
+        raise ValueError("left_keys and right_keys must be non-empty and of equal length")
+    on = None
+    for lk, rk in zip(left_keys, right_keys):
+        e = F.col(lk) == F.col(rk)
+        on = e if on is None else on & e
+    matched = left.join(right, on, "inner")
+    aliases = [f"_rk{i}" for i in range(len(right_keys))]
+    keys = right.select(*[F.col(rk).alias(a) for rk, a in zip(right_keys, aliases)]).distinct()
+    anti_on = None
+    for lk, a in zip(left_keys, aliases):
+        e = F.col(lk) == F.col(a)
+        anti_on = e if anti_on is None else anti_on & e
+    unmatched = left.join(keys, anti_on, "left_anti").select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return matched.unionByName(unmatched)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import CENTS, day_diff, rounded_money
+from strata.operators.joins import left_join_splittable
 from strata.schemas import STAMP
 
 
@@ -84,22 +85,6 @@ def part_transformed(part: DataFrame) -> DataFrame:
     )
 
 
-def _left_join_splittable(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:
-    """``left LEFT JOIN right ON lkey = rkey``, written so a hot key on either side can be split.
-
-    AQE splits a skewed partition only on the preserved side of an outer
-    join; for the part -> partsupp join the hot side is partsupp (many
-    offers of one part).  The same rows come from an inner join (both sides
-    splittable) plus the left rows without a match (an anti join against the
-    de-duplicated right keys, partially aggregated before the shuffle).
-    """
-    matched = left.join(right, F.col(lkey) == F.col(rkey), "inner")
-    keys = right.select(F.col(rkey).alias("_rk")).distinct()
-    unmatched = left.join(keys, F.col(lkey) == F.col("_rk"), "left_anti").select(
-        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return matched.unionByName(unmatched)
-
-
 def dim_part(
     part: DataFrame,
     partsupp: DataFrame,
@@ -118,7 +103,7 @@ def dim_part(
     pt = part_transformed(part)
     ps = partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost", "ps_availqty")
     se = supplier_enriched(supplier, nation, region)
-    joined = _left_join_splittable(pt, ps, "part_key", "ps_partkey").join(
+    joined = left_join_splittable(pt, ps, ["part_key"], ["ps_partkey"]).join(
         se, F.col("ps_suppkey") == F.col("s_suppkey"), "left")
     cols = [
         *PART_COLUMNS,

@@ -252,6 +252,14 @@ def test_splittable_left_join_equals_left_join(spark):
 
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k long, v string")
     right = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (3, 30), (None, 99), (4, 40)], "rk long, w int")
-    got = S._left_join_splittable(left, right, "k", "rk")
+    from strata.operators.joins import left_join_splittable
+
+    got = left_join_splittable(left, right, ["k"], ["rk"])
     want = left.join(right, F.col("k") == F.col("rk"), "left")
     assert spark_table(got) == spark_table(want)
+    # two keys, NULL in one part of the key
+    l2 = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c")], "a long, b long, v string")
+    r2 = spark.createDataFrame([(1, 1, 10), (1, 1, 11), (2, 2, 5), (None, 1, 7)], "x long, y long, w int")
+    got2 = left_join_splittable(l2, r2, ["a", "b"], ["x", "y"])
+    want2 = l2.join(r2, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left")
+    assert spark_table(got2) == spark_table(want2)
