@@ -90,6 +90,9 @@ class Runner:
         log.info("building %s.%s", spec.layer, spec.name)
         df = spec.build(self.ctx, inputs)
         if self.ctx.validate:
+            # Validate before loading, as specified: a failed table is never
+            # written.  Duplicate-key detection needs its own aggregation, so
+            # this is one extra pass over the table.
             validate(spec.name, df, spec.keys, spec.rules)
         if self.ctx.load_data:
             t0 = time.perf_counter()
