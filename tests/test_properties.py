@@ -120,3 +120,48 @@ def test_weighted_marts_equal_marts_over_fanned_out_table(spark, w):
         spark_table(G.finance_metrics(wide, "t", "2002-01-01"))
     assert spark_table(G.marketing_metrics(weighted, "t")) == spark_table(G.marketing_metrics(wide, "t"))
     assert spark_table(G.top_brands(weighted)) == spark_table(G.top_brands(wide))
+
+
+mkt_rows = st.lists(
+    st.tuples(st.integers(0, 5), st.integers(0, 2), st.sampled_from(["AUTO", "HOUSE", None]),
+              st.sampled_from(["B1", "B2", "B3", None]), st.integers(0, 5000), st.sampled_from([True, False, None])),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=4, deadline=None)
+@given(mkt_rows)
+def test_one_pass_marketing_equals_window_and_join(spark, rows):
+    """The grouping-sets mart gives the same rows as the literal plan: per-group metrics
+    LEFT JOIN (ROW_NUMBER() ... = 1) on plain equality."""
+    import datetime as dt
+
+    lines = spark.createDataFrame(
+        [(o, dt.date(2001, 1 + m, 15), seg, brand, _D(c) / 100, late) for o, m, seg, brand, c, late in rows],
+        "order_key long, order_date date, market_segment string, brand string, net_amount decimal(18,2), "
+        "is_late_delivery boolean",
+    )
+    got = G.marketing_metrics(lines, "t").drop("etl_inserted")
+
+    by = ["month", "market_segment"]
+    base = lines.withColumn("month", F.trunc("order_date", "month").cast("timestamp_ntz"))
+    grouped = base.groupBy(*by).agg(
+        F.countDistinct("order_key").alias("order_count"),
+        F.round(F.sum("net_amount"), 2).cast("decimal(38,2)").alias("total_revenue"),
+        F.round(F.avg("net_amount"), 2).cast("decimal(18,2)").alias("avg_order_value"),
+        (F.sum(F.when(F.col("is_late_delivery"), 1).otherwise(0)) * 100 / F.count(F.lit(1))).alias("_late"),
+    )
+    best = G.top_brands(base).where(F.col("rn") == 1).select(
+        F.col("month").alias("_m"), F.col("market_segment").alias("_s"), F.col("brand").alias("top_brand"))
+    want = grouped.join(best, (F.col("month") == F.col("_m")) & (F.col("market_segment") == F.col("_s")), "left")
+    # late rate: exact half-up of the same ratio, compared at 2 decimals
+    want = want.select(*by, "order_count", "total_revenue", "avg_order_value",
+                       F.col("_late").alias("late_raw"), "top_brand")
+    got_rows = {(r.month, r.market_segment): r for r in got.collect()}
+    want_rows = {(r.month, r.market_segment): r for r in want.collect()}
+    assert got_rows.keys() == want_rows.keys()
+    for k, g in got_rows.items():
+        w = want_rows[k]
+        assert (g.order_count, g.total_revenue, g.avg_order_value, g.top_brand) == \
+            (w.order_count, w.total_revenue, w.avg_order_value, w.top_brand), k
+        assert abs(g.late_delivery_rate - float(w.late_raw)) <= 0.005 + 1e-9, k
