@@ -54,7 +54,13 @@ def write_tbl(df: DataFrame, path: str) -> None:
 
 
 class TblSource:
-    """Source reading ``{directory}/{table}.tbl`` with the TPC-H DDL schema."""
+    """Source reading ``{directory}/{table}.tbl*`` with the TPC-H DDL schema.
+
+    The pattern takes a single file, the numbered chunks dbgen writes for
+    large scale factors (``lineitem.tbl.1`` ... ``lineitem.tbl.N``), a
+    directory of part files, and compressed text (``.tbl.gz``); all of them
+    are read by one parallel CSV scan.
+    """
 
     name = "tbl"
 
@@ -68,4 +74,4 @@ class TblSource:
             schema = self.schemas[name]
         except KeyError:
             raise KeyError(f"unknown source table {name!r}") from None
-        return read_tbl(self.spark, f"{self.directory}/{name}.tbl", schema)
+        return read_tbl(self.spark, f"{self.directory}/{name}.tbl*", schema)

@@ -138,3 +138,25 @@ def test_parquet_source_casts_to_ddl_types(spark, tmp_root):
     assert types == {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(15,2)",
                      "o_orderdate": "date"}
     assert df.first().o_totalprice == Decimal("12.35")
+
+
+def test_tbl_source_reads_dbgen_chunks_and_compressed_files(spark, tmp_root):
+    import gzip
+
+    d = tmp_root.replace("file:", "") + "/chunks"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/region.tbl.1", "w") as f:
+        f.write("0|AFRICA|c0|\n1|AMERICA|c1|\n")
+    with open(f"{d}/region.tbl.2", "w") as f:
+        f.write("2|ASIA|c2|\n")
+    with gzip.open(f"{d}/nation.tbl.gz", "wt") as f:
+        f.write("0|ALGERIA|0|x|\n1|ARGENTINA|1||\n")
+    with open(f"{d}/part.tbl", "w") as f:
+        f.write("1|p|M|B|T|5|BOX|1.50||\n")
+    with open(f"{d}/partsupp.tbl", "w") as f:
+        f.write("1|2|3|4.00|c|\n")
+    src = TblSource(spark, tmp_root + "/chunks")
+    assert sorted(r.r_name for r in src.table("region").collect()) == ["AFRICA", "AMERICA", "ASIA"]
+    assert src.table("nation").count() == 2
+    assert src.table("part").count() == 1  # part.tbl* does not pick up partsupp.tbl
+    assert src.table("partsupp").first().ps_supplycost == Decimal("4.00")
