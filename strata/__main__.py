@@ -1,7 +1,7 @@
 """Command line: run the pipeline.
 
-    python -m strata --root s3a://bucket/lake --source tbl --source-dir s3a://bucket/tpch \
-        [--as-of 2002-01-01] [--dry-run] [--validate] [--table finance_metrics ...]
+    python -m strata --root s3a://bucket/lake --source tbl --source-dir s3a://bucket/tpch
+    python -m strata --dry-run --source fixture --source-dir /data/sf0.01 --table finance_metrics
 
 ``--root`` (or ``STRATA_ROOT``) is where the layers and the dashboard exports
 go: ``{root}/{bronze,silver,gold}/<table>`` and ``{root}/interface/...``.
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-ts", help="run stamp (default: now, UTC)")
     ap.add_argument("--dry-run", action="store_true", help="build every table without writing")
     ap.add_argument("--from-snapshots", action="store_true", help="read upstream tables from stored snapshots")
-    ap.add_argument("--validate", action="store_true", help="check keys before each write")
+    ap.add_argument("--validate", action="store_true", help="check keys and column rules before each write; a failure blocks the write")
     ap.add_argument("--mart-input", choices=("auto", "wide", "silver"), default="auto",
                     help="marts read the wide table or the silver tables with fan-out weights "
                          "(auto: wide when tables are written, silver in a dry run)")
