@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import dashboards as D
 from strata.operators.quality import key_report, rule_report, validate
@@ -64,6 +66,7 @@ class Runner:
         self.ctx = ctx
         self.specs = specs or table_specs(ctx.resolved_mart_input)
         self.built: dict[str, DataFrame] = {}
+        self.rows_written: dict[str, int] = {}
         self._consumers = {n: 0 for n in self.specs}
         for s in self.specs.values():
             for u in s.upstream:
@@ -98,11 +101,16 @@ class Runner:
             t0 = time.perf_counter()
             sc = self.ctx.spark.sparkContext
             sc.setJobDescription(f"write {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
+            # Rows written, counted by the write job itself (observed metric: no extra pass).
+            rows = Observation(f"rows_{spec.layer}_{spec.name}_{uuid.uuid4().hex[:8]}")
             try:
-                self.ctx.store.write(df, spec.layer, spec.name, spec.partition_keys, spec.data_format)
+                self.ctx.store.write(df.observe(rows, F.count(F.lit(1)).alias("rows")),
+                                     spec.layer, spec.name, spec.partition_keys, spec.data_format)
             finally:
                 sc.setJobDescription(None)
-            log.info("wrote %s.%s in %.2fs", spec.layer, spec.name, time.perf_counter() - t0)
+            self.rows_written[spec.name] = rows.get["rows"]
+            log.info("wrote %s.%s: %d rows in %.2fs", spec.layer, spec.name, self.rows_written[spec.name],
+                     time.perf_counter() - t0)
             out = self.ctx.store.read_partition(spec.layer, spec.name, {STAMP: self.ctx.run_ts},
                                                 schema=df.schema, data_format=spec.data_format)
         else:

@@ -125,3 +125,10 @@ def test_column_rules_count_false_and_null_as_failures(spark):
     with pytest.raises(InvalidDataError, match="in_range"):
         validate("t", df, ("k",), {"in_range": "d BETWEEN 0 AND 1"})
     assert validate("t", df, ("k",), {"k_set": "k IS NOT NULL"})["row_count"] == 3
+
+
+def test_rows_written_are_counted_by_the_write(spark, tmp_root):
+    runner = Runner(_ctx(spark, store=SnapshotStore(spark, tmp_root), load_data=True))
+    fct = runner.run("fct_orders")
+    assert runner.rows_written["fct_orders"] == fct.count() == FixtureSource(spark, SF_SMALL).table("lineitem").count()
+    assert runner.rows_written["orders"] == 1500 and set(runner.rows_written) == {"orders", "lineitem", "fct_orders"}
