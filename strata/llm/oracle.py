@@ -28,6 +28,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM word LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+# Words of the other contracts: runs of anything but the six ASCII white-space characters.
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+
+OP3 = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host, md5(coalesce(text, '')) AS k,
+         regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents),
+gram AS (SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM doc)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM gram) WHERE n > 1),
+marked AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY r),
+line AS (
+  SELECT r, host, k, line, regexp_extract_all(line, {_SPACED}) AS w
+  FROM (SELECT r, host, k, unnest(lines) AS line FROM doc) WHERE regexp_matches(line, {_SPACED})),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM line GROUP BY r),
+own AS (
+  SELECT DISTINCT host, k, len(w) AS n,
+         translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line FROM line),
+host AS (SELECT host, count(DISTINCT k) AS n_docs FROM doc GROUP BY host),
+frequent AS (
+  SELECT host, line FROM (SELECT host, line, count(*) AS n FROM own GROUP BY ALL) JOIN host USING (host)
+  WHERE n >= 20 AND n > 0.5 * n_docs),
+share AS (
+  SELECT own.host, own.k, sum(n) AS n, sum(CASE WHEN frequent.line IS NULL THEN 0 ELSE n END) AS gone
+  FROM own LEFT JOIN frequent ON own.host = frequent.host AND own.line = frequent.line GROUP BY ALL),
+depleted AS (SELECT host, k FROM share WHERE gone > 0 AND n - gone < 0.3 * n),
+counted AS (
+  SELECT doc.r, doc_id, host, k, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM doc LEFT JOIN dup USING (r) LEFT JOIN marked USING (r)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (SELECT count(*) FROM depleted d WHERE d.host = failed.host AND d.k = failed.k) = 0 AS kept
+FROM failed
+"""
+
 ORACLE_SQL = {
+    "op3_quality_rules": OP3,
     "op1_benchmark_decontamination": OP1,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination
+from strata.llm import decontamination, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         decontamination.contaminated(F.col("match_n_words"), n_hit).alias("contaminated"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality_rules.quality_rules(documents).drop("text", "source")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
+    op3_quality_rules,
 )}
