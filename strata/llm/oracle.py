@@ -65,7 +65,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+
+def _spans(kind: int, pattern: str, test: str, value: str = "m") -> str:
+    """SELECT of (r, start, kind, end, value): the text's split by the pattern gives the gaps before its matches."""
+    return f"""
+SELECT r, CAST(stop - length(m) AS BIGINT) AS start, {kind} AS kind, CAST(stop AS BIGINT) AS stop, {value} AS value FROM (
+  SELECT r, found[i] AS m, length(array_to_string(found[:i], '') || array_to_string(gaps[:i], '')) AS stop
+  FROM (SELECT r, found, gaps, unnest(range(1, len(found) + 1)) AS i
+        FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM doc)))
+WHERE {test}"""
+
+
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_VALUE = f"regexp_extract(m, '{_ASSIGN}', 2)"
+_MIXED = "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')"
+
+OP8 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
+found AS (
+{_spans(0, _ASSIGN, f"length({_VALUE}) >= 6", _VALUE)} UNION ALL
+{_spans(1, "AKIA[A-Z0-9]{16,}", "true")} UNION ALL
+{_spans(2, "[0-9a-f]{24,}", "true")} UNION ALL
+{_spans(3, "[A-Za-z0-9+/_=-]{20,}", _MIXED)}),
+owned AS (
+  SELECT value, count(DISTINCT coalesce(source, '')) AS n_owners FROM found JOIN doc USING (r) GROUP BY value),
+judged AS (
+  SELECT *, n_owners <= 1 AS live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || start || ':' || stop AS one
+  FROM found JOIN owned USING (value) WHERE kind < 3 OR n_owners <= 1),
+total AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         string_agg(one, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(one, ',' ORDER BY start, kind) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
+  FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM doc LEFT JOIN total USING (r)
+"""
+
 ORACLE_SQL = {
+    "op8_secret_scan": OP8,
     "op3_quality_rules": OP3,
     "op1_benchmark_decontamination": OP1,
 }

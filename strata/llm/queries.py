@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, quality_rules
+from strata.llm import decontamination, pii, quality_rules, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +22,33 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         decontamination.contaminated(F.col("match_n_words"), n_hit).alias("contaminated"))
 
 
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get(pii.KEY_SETTING, pii.DEFAULT_KEY)
+    out = pii.pseudonymise(_table(spark, sf_dir, "documents"), key)
+    of = lambda kind: lambda r: r["kind"] == kind
+    counts = [F.size(F.filter("replaced", of(kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return out.select("doc_id", "text", *counts)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality_rules.quality_rules(documents).drop("text", "source")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    count = lambda spans, test: F.size(F.filter(spans, test)).cast("bigint")
+    of = lambda k: lambda s: s["kind"] == k
+    return found.select(
+        "doc_id", *[count("base", of(k)).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])],
+        F.sha2(secret_scan.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+        count("spans", lambda s: s["live"]).alias("n_live"), count("spans", lambda s: ~s["live"]).alias("n_copied"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
+    op2_pii_pseudonyms,
     op3_quality_rules,
+    op8_secret_scan,
 )}
