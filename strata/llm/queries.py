@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, pii, quality_rules, secret_scan
+from strata.llm import decontamination, pii, quality_rules, secret_scan, token_counts
+
+MAX_TOKENS = 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents).drop("text", "source")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     count = lambda spans, test: F.size(F.filter(spans, test)).cast("bigint")
@@ -50,5 +57,6 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_pseudonyms,
     op3_quality_rules,
+    op7_token_counts,
     op8_secret_scan,
 )}
