@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, pii, quality_rules, secret_scan, token_counts
+from strata.llm import decontamination, packing, pii, quality_rules, secret_scan, token_counts
 
 MAX_TOKENS = 1024
 
@@ -37,6 +37,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents).drop("text", "source")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), capacity=MAX_TOKENS)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
@@ -57,6 +61,7 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_pseudonyms,
     op3_quality_rules,
+    op4_packing,
     op7_token_counts,
     op8_secret_scan,
 )}
