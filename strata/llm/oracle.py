@@ -65,6 +65,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+OP5 = """
+WITH page AS (
+  SELECT row_number() OVER () AS r, page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER same AS k, first_value(page_id) OVER same AS first_page FROM page
+  WINDOW same AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, r))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN first_page END AS refers_to
+FROM ranked
+"""
+
 
 def _spans(kind: int, pattern: str, test: str, value: str = "m") -> str:
     """SELECT of (r, start, kind, end, value): the text's split by the pattern gives the gaps before its matches."""
@@ -103,6 +115,7 @@ FROM doc LEFT JOIN total USING (r)
 """
 
 ORACLE_SQL = {
+    "op5_warc_round_trip": OP5,
     "op8_secret_scan": OP8,
     "op3_quality_rules": OP3,
     "op1_benchmark_decontamination": OP1,

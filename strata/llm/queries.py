@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, packing, pii, quality_rules, secret_scan, token_counts
+from strata.llm import decontamination, html_text, packing, pii, quality_rules, secret_scan, token_counts, warc
 
 MAX_TOKENS = 1024
 
@@ -41,6 +41,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), capacity=MAX_TOKENS)
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.records(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    chunks = warc.read_warc(warc.write_warc(rows))
+    return chunks.where("last").select(
+        F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
@@ -62,6 +73,8 @@ QUERIES = {f.__name__: f for f in (
     op2_pii_pseudonyms,
     op3_quality_rules,
     op4_packing,
+    op5_warc_round_trip,
+    op6_html_text,
     op7_token_counts,
     op8_secret_scan,
 )}
