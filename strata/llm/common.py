@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -35,17 +36,51 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet on the shared storage and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).stage(df, label)
+
+
+class Scratch:
+    """Written intermediate tables that go at the end of a ``with`` block, when nothing reads them any more.
+
+    What a table was built with is of no use once it is written, so each write
+    also lets Spark drop the shuffle files behind it: the cleaner waits for
+    the JVM to collect the plans, which a driver with little to do may not do
+    for half an hour.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            _delete(self.spark, path)
+        _release(self.spark)
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path, schema = scratch_path(self.spark, label), df.schema
+        df.write.parquet(path)
+        self.paths.append(path)
+        del df
+        _release(self.spark)
+        return self.spark.read.schema(schema).parquet(path)
+
+
+def _release(spark: SparkSession) -> None:
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every scratch table this application wrote.  Call it once the results built on them are stored."""
-    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/strata-llm/{sc.applicationId}")
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_root(spark)}/strata-llm/{spark.sparkContext.applicationId}")
 
 
 def fresh(columns: list[str], *names: str) -> list[str]:
