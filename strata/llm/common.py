@@ -57,18 +57,19 @@ class Scratch:
     def __exit__(self, *error) -> None:
         for path in self.paths:
             _delete(self.spark, path)
-        _release(self.spark)
+        release(self.spark)
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         path, schema = scratch_path(self.spark, label), df.schema
         df.write.parquet(path)
         self.paths.append(path)
         del df
-        _release(self.spark)
+        release(self.spark)
         return self.spark.read.schema(schema).parquet(path)
 
 
-def _release(spark: SparkSession) -> None:
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, stage
+from strata.llm.common import Scratch, fresh, stage
 
 # Fixed values of the contract: white space that parts words, and symbols.
 SPACE = " \t\n\x0b\f\r"
@@ -108,7 +108,7 @@ def line_table(df: DataFrame, text_col: str, host_col: str) -> DataFrame:
     )
 
 
-def depleted_texts(df: DataFrame, text_col: str = "text", host_col: str = "source", max_doc_share: float = MAX_DOC_SHARE,
+def depleted_texts(df: DataFrame, scratch: Scratch, text_col: str = "text", host_col: str = "source", max_doc_share: float = MAX_DOC_SHARE,
                    min_docs: int = MIN_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """(host, text_key, n_removed_words) of the texts that keep less than ``min_kept_share`` of their lines' words.
 
@@ -116,7 +116,7 @@ def depleted_texts(df: DataFrame, text_col: str = "text", host_col: str = "sourc
     and a line that a third of all texts hold is one row per host when joined
     back: its other side is what adaptive execution may split.
     """
-    lines = line_table(df, text_col, host_col)
+    lines = scratch.stage(line_table(df, text_col, host_col), "host_lines")
     hosts = (df.select(_host(df, host_col).alias("host"), _text_key(text_col).alias("text_key")).distinct()
              .groupBy("host").agg(F.count("*").alias("n_docs")))
     frequent = (
@@ -139,7 +139,8 @@ def quality_rules(df: DataFrame, text_col: str = "text", host_col: str = "source
     The depleted texts are written first, so their measured size decides
     whether the join sends them to all executors or shuffles both sides.
     """
-    depleted = stage(depleted_texts(df, text_col, host_col, **limits), "depleted")
+    with Scratch(df.sparkSession) as scratch:
+        depleted = stage(depleted_texts(df, scratch, text_col, host_col, **limits), "depleted")
     names = fresh(df.columns, *STATISTICS, "base_failed", "kept", "host_key", "text_key")
     own, (failed, kept, host, key) = tuple(names[:5]), names[5:]
     depleted = depleted.select(F.col("host").alias(host), F.col("text_key").alias(key), F.lit(True).alias(kept))

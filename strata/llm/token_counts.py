@@ -65,14 +65,28 @@ def vocabulary(df: DataFrame, text_col: str, path: str | None = None) -> DataFra
             .mapInArrow(count, "pre_token string, frequency bigint, n_pieces bigint"))
 
 
+def _head(words: DataFrame, most: int) -> dict[str, int]:
+    """Counts of the most frequent pre-tokens: all above the least step of frequency that at most ``most`` of them reach."""
+    step = F.floor(F.log2("frequency") * 8).cast("int")
+    held, least = 0, None
+    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+        held += r["n"]
+        if held > most:
+            break
+        least = r["step"]
+    if least is None:
+        return {}
+    top = words.where(step >= least).select("pre_token", "n_pieces").toArrow()
+    return dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist()))
+
+
 def count_tokens(df: DataFrame, text_col: str = "text", path: str | None = None, head_size: int = HEAD_SIZE) -> DataFrame:
     """``df`` without its text, plus ``n_bytes`` (UTF-8) and ``n_tokens`` (renamed with underscores if they clash)."""
     spark = df.sparkSession
     keep = [c for c in df.columns if c != text_col]
     row, n_bytes, n_tokens, tail = fresh(keep, "row", "n_bytes", "n_tokens", "tail")
     words = stage(vocabulary(df, text_col, path), "vocabulary")
-    top = words.orderBy(F.desc("frequency"), "pre_token").limit(head_size).toPandas()
-    shared = spark.sparkContext.broadcast(dict(zip(top["pre_token"], top["n_pieces"])))
+    shared = spark.sparkContext.broadcast(_head(words, head_size))
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(row, T.LongType()), T.StructField(n_bytes, T.LongType()), T.StructField(n_tokens, T.LongType()),
                            T.StructField(tail, T.ArrayType(T.StructType([T.StructField("pre_token", T.StringType()), T.StructField("n", T.IntegerType())])))])
     entry = pa.list_(pa.struct([("pre_token", pa.string()), ("n", pa.int32())]))
