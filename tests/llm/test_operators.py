@@ -1,0 +1,367 @@
+"""The numbered operators against brute force on small fixtures: nulls, empty and long texts, ties, repeats, clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from strata.llm import decontamination, html_text, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
+from strata.llm.components import components
+
+LOWER = {i: i + 32 for i in range(65, 91)}
+DOCS = "doc_id long, text string, source string"
+
+
+def words(n: int, seed: int = 0, vocabulary: int = 5000) -> list[str]:
+    r = random.Random(seed)
+    return ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) + str(r.randrange(vocabulary)) for _ in range(n)]
+
+
+# ---------------------------------------------------------------- 1
+
+def brute_contamination(text, items):
+    own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    hit, found = set(), set()
+    for item, t in items:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+        size = min(13, len(w))
+        for i in range(len(w) - size + 1) if w else ():
+            for j in range(len(own) - size + 1):
+                if own[j:j + size] == w[i:i + size]:
+                    hit |= set(range(j, j + size))
+                    found.add("" if item is None else str(item))
+    return len(own), len(hit), sorted(found)
+
+
+def test_decontamination(spark):
+    item = words(40, 1)
+    items = [(1, " ".join(item)), (2, "Únique  Word"), (3, None), (4, "!!"), (None, "z " * 14), (5, " ".join(item[5:25])), (10, "q")]
+    docs = [(0, None), (1, ""), (2, " ".join(words(50, 2) + item[3:30] + words(700, 3))), (3, "a ÚNIQUE-word únique word b"), (4, "z " * 30), (4, "z " * 30),
+            (5, "x" * 5000 + " " + ", ".join(item).upper()), (6, " ".join(item[:12])), (7, "--- q ---"), (8, "\n".join(words(3000, 4) + item))]
+    d = spark.createDataFrame([(i, t, "m") for i, t in docs], "doc_id long, text string, match_items string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    for block in (32 << 20, 20_000):
+        out = decontamination.find_contamination(d, b, block_bytes=block)
+        n, spans, found = out.columns[3:]
+        assert found == "_match_items"
+        rows = out.select("doc_id", n, decontamination.hit_words(F.col(spans)), found).collect()
+        assert sorted((r[0], r[1], r[2], tuple(sorted(r[3]))) for r in rows) == sorted((i, *x[:2], tuple(x[2])) for i, t in docs for x in [brute_contamination(t, items)])
+    kept = decontamination.decontaminate(d, b)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, t in docs for n, hit, _ in [brute_contamination(t, items)] if not (hit and 20 * hit >= n)}
+    assert decontamination.find_contamination(d.limit(0), b).count() == 0 and decontamination.decontaminate(d, b.limit(0)).count() == len(docs)
+
+
+# ---------------------------------------------------------------- 2
+
+def test_pseudonyms(spark):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009", "4111111111111112"]
+    text = "mail bob.smith42@mail.example.com, +1 (212) 555-0123 or 212-555-0123; 123-45-6789; 10.0.255.1; 2001-02-29 2000-02-29 31/12/1999 12/31/1999 31.04.2001 " + " ".join(cards)
+    rows = [(1, None, "a"), (2, "", "a"), (3, text, "a"), (4, "x " + text + " 999.1.1.1 1234567 1.2.3", "b"), (4, "no@ 000-12-1234", None)]
+    out = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string, replaced string"), "key")
+    assert out.columns == ["doc_id", "text", "replaced", "_replaced"]
+    got = {r.doc_id: r for r in out.collect() if r.text != "no@ 000-12-1234"}
+    assert got[1].text is None and got[1]["_replaced"] == [] and got[2].text == ""
+    new = got[3].text
+    assert got[4].text == "x " + new + " 999.1.1.1 1234567 1.2.3"  # linked across documents
+    for same in ("2001-02-29", "31.04.2001", "4111111111111112"):
+        assert same in new
+    for gone in ("bob.smith42", "555-0123", "123-45-6789", "10.0.255.1", "2000-02-29", "31/12/1999", "12/31/1999", *cards[:3]):
+        assert gone not in new, gone
+    shape = lambda s: re.sub("[0-9]+", "9", re.sub("[A-Za-z]", "x", s))
+    assert shape(new) == shape(text)
+    for card in re.findall(r"\b\d{4} \d{4} \d{4} \d{4}\b|\b\d{4}-\d{4}-\d{4}-\d{4}\b", new):
+        d = [int(c) for c in card if c.isdigit()]
+        assert sum(sum(divmod(2 * x, 10)) if i % 2 == len(d) % 2 else x for i, x in enumerate(d)) % 10 == 0
+    other = pii.pseudonymise(spark.createDataFrame(rows[2:3], "doc_id long, text string, replaced string"), "other").first().text
+    assert other != new
+
+
+def test_pseudonyms_are_a_permutation(spark):
+    n = spark.range(0, 73049).select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text")).limit(4000)
+    out = pii.pseudonymise(n, "k")
+    assert out.select("text").distinct().count() == 4000 and out.where("text < '1900-01-01' or text > '2099-12-31'").count() == 0
+
+
+# ---------------------------------------------------------------- 3
+
+def brute_quality(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    grams, marked = {}, set()
+    for i in range(len(w) - 2):
+        grams.setdefault(tuple(w[i:i + 3]), []).append(i)
+    for at in grams.values():
+        if len(at) > 1:
+            marked |= {i + k for i in at for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(marked)
+
+
+def test_quality_rules(spark):
+    template = "\n".join(" ".join(words(30, s)) for s in range(3))
+    rows = [(i, f"{template}\n{' '.join(words(9, 100 + i))}", "site") for i in range(30)]
+    rows += [(100 + i, " ".join(words(60, 500 + i)), "site") for i in range(15)] + [(200, rows[0][1], "other"), (201, None, None), (202, "", "site"), (202, "", "site")]
+    rows += [(203, "a b c a b c " * 40, "x"), (204, "# é 　 <>\n\n\t\n# é 　 <>", "x"), (205, " ".join(words(20000, 7)), None)]
+    out = quality_rules.quality_rules(spark.createDataFrame(rows, DOCS + "").withColumn("kept", F.lit("mine")))
+    assert out.columns[3:] == ["kept", *quality_rules.STATISTICS, "base_failed", "_kept"]
+    for r in out.collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        want = brute_quality(text)
+        assert tuple(r)[4:9] == want, r.doc_id
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert r["_kept"] == (not r.base_failed and not r.doc_id < 30), r.doc_id
+    copies = spark.createDataFrame([(i, rows[0][1], "site") for i in range(100)], DOCS)
+    assert quality_rules.keep_good(copies).count() == 100 and quality_rules.keep_good(copies.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 4
+
+def test_configurations_hold_every_piece():
+    r = np.random.default_rng(0)
+    for lengths, bound in ((np.clip(r.lognormal(5.8, 1, 20000), 1, 1024), 1.005), (r.integers(500, 700, 3000), 2), (np.array([1024] * 5 + [600] * 7 + [1] * 3), 2)):
+        histogram = {int(n): int(c) for n, c in zip(*np.unique(lengths.astype(int), return_counts=True))}
+        found = packing.configurations(histogram)
+        held = {}
+        for config, x in found:
+            assert x > 0 and sum(n * a for n, a in config.items()) <= 1024
+            for n, a in config.items():
+                held[n] = held.get(n, 0) + a * x
+        assert held == histogram
+        assert sum(x for _, x in found) <= bound * sum(n * c for n, c in histogram.items()) / 1024 + 1
+    assert packing.configurations({}) == [] and sum(x for _, x in packing.configurations({600: 10 ** 9, 3: 5})) == 10 ** 9
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokens.default_path())
+    rows = [(1, None), (2, ""), (3, "a <|endoftext|> b"), (3, "a <|endoftext|> b"), (4, " ".join(words(5000, 1))), (None, "x y z")] + [(10 + i, " ".join(words(i, i))) for i in range(60)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, part string").repartition(3)
+    out = packing.pack(df, with_ids=True).collect()
+    want = []
+    for i, t in rows:
+        ids = [*own.encode(t or "", add_special_tokens=False).ids, 2]
+        for k, (s, n) in enumerate(packing.cut(len(ids), 1024)):
+            want.append((str(i), k, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()), tuple(ids[s:s + n])))
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32, tuple(r.ids)) for r in out) == sorted(want)
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for at in sequences.values():
+        end = 0
+        for offset, length in sorted(at):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    assert packing.pack(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 5
+
+def test_warc_round_trip(spark, tmp_root):
+    same, long = "x" * 200, "é" * 300_000
+    pages = [(5, "http://a", same), (3, "http://b\r\nX: y", same), (3, "http://c", same), (None, None, same), (7, "u", None), (8, "u", ""), (9, "u", "short"), (1, "u", "short"), (2, "ü", long), (4, "v", long)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    manifest = warc.write_warc(warc.records(df, "page_id", "url", "html"), tmp_root + "/warc", chunk_bytes=1000, file_bytes=2000)
+    rows = warc.read_warc(manifest, 1000, with_payload=True).collect()
+    texts = {}
+    for r in sorted(rows, key=lambda r: (r.record_id, r.chunk)):
+        texts[r.record_id] = texts.get(r.record_id, b"") + r.payload
+        assert r.n_bytes <= 1000
+        if r.record_type == "response":
+            assert r.digest_so_far == hashlib.sha256(texts[r.record_id]).hexdigest() and r.bytes_so_far == len(texts[r.record_id])
+    last = [r for r in rows if r.last]
+    assert len(last) == len(pages) and manifest.agg(F.sum("n_records")).first()[0] == len(pages)
+    got = sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in last)
+    kind = {0: "revisit", 3: "revisit", 9: "revisit", 2: "revisit"}
+    want = sorted((str(p), len((t or "").encode()), hashlib.sha256((t or "").encode()).hexdigest(), kind.get(i, "response"), {0: "3", 2: "3", 3: "3", 9: "2"}.get(i)) for i, (p, _, t) in enumerate(pages))
+    assert got == want
+    assert warc.read_warc(warc.write_warc(warc.records(df.limit(0), "page_id", "url", "html"))).count() == 0
+
+
+# ---------------------------------------------------------------- 6
+
+def test_main_text():
+    body = "<h1>Title &amp; more</h1><p>First  para\n of <b>text</b>.<p>Second&nbsp;one.<br>x</p><aside>side bar</aside><p>Short.</p><div class='ad'>buy</div><ul><li>item <a href=x>link</a></li></ul>"
+    page = f"<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p><p>';</script><body class=home><nav><a href=/>Home</a></nav><header>Site</header><div class='cookie-notice'>We use cookies and many words to say so, at length, in every page of this site.</div><article>{body}</article><section id=comments><p>{'A reader says a lot. ' * 40}</p></section><form><p>search</p></form><footer>&copy; x</footer></body></html>"
+    want = "Title & more\nFirst para of text.\nSecond one. x\nShort.\nitem link"
+    assert html_text.main_text(page) == want
+    assert html_text.main_text(page.replace("<article>", "<div>").replace("</article>", "</div>")).split("\n")[:4] == want.split("\n")[:4]
+    for empty in (None, "", "<p></p>", "<!-- <p>x</p>", "<script>x", "<"):
+        assert html_text.main_text(empty) in ("", "<")
+    assert html_text.main_text("plain <b text") == "plain" and html_text.main_text("<p a='x>1</p><p>2") in ("2", "1\n2")
+    assert html_text.main_text("<div>" * 50_000 + "x") == "x" and len(html_text.main_text("<p>a" * 20_000)) == 39_999
+
+
+def test_extract_text(spark):
+    df = spark.createDataFrame([(1, "u", "<p>é x", "mine"), (1, "u", "<p>é x", "mine"), (2, None, None, "m")], "page_id long, url string, html string, text string")
+    out = html_text.extract_text(df)
+    assert out.columns == ["page_id", "url", "text", "_text", "n_chars"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "u", "mine", "é x", 3)] * 2 + [(2, None, "m", "", 0)], key=str)
+    assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 7
+
+def test_token_counts(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokens.default_path())
+    odd = ["'s 'll don't  \n\n x　y 12٣ <|endoftext|><|endoftext|>  é́", "a" * 3000 + " b", " ".join(words(4000, 3)), None, "", "x", "x"]
+    df = spark.createDataFrame([(i % 6, t, 5) for i, t in enumerate(odd)], "doc_id long, text string, n_tokens int").repartition(3)
+    want = sorted((i % 6, 5, len((t or "").encode()), len(own.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(odd))
+    for head in (100_000, 10, 0):
+        out = token_counts.count_tokens(df, head_size=head)
+        assert out.columns == ["doc_id", "n_tokens", "n_bytes", "_n_tokens"]
+        assert sorted(map(tuple, out.collect())) == want
+    assert token_counts.count_tokens(df.limit(0)).count() == 0
+    for t in odd:
+        assert tokens.encoder(None)(t or "").tolist() == own.encode(t or "", add_special_tokens=False).ids
+
+
+# ---------------------------------------------------------------- 8
+
+def brute_spans(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(secret_scan.ASSIGN, text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24])
+
+
+def test_secret_scan(spark):
+    key, shared = "aB3" * 9, "zX9" * 8
+    texts = ["", None, "é PassWord = \"abc123\" secret=token:abcdefgh token:'x' api-key: APIKEY=abcdef0", f"é AKIA{'A' * 16} AKIAAKIA " + "0123456789abcdef" * 2 + " AKIAB",
+             f"{key} and {shared}", f"{shared} token={shared}", " ".join("deadbeef" * 3 + str(i) for i in range(3000))]
+    rows = [(i, t, f"owner{i}") for i, t in enumerate(texts)] + [(4, texts[4], "owner4"), (50, "password=hunter22", None)]
+    out = secret_scan.scan_secrets(spark.createDataFrame(rows, DOCS))
+    for r in out.collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id) or ""
+        assert [(s.start, s.kind, s.end) for s in r.base] == brute_spans(text), r.doc_id
+        extra = [text[s.start:s.end] for s in r.spans if s.kind == 3]
+        assert extra == ([key] if r.doc_id == 4 else []), r.doc_id
+        assert [(s.start, s.kind, s.end) for s in r.spans if s.kind < 3] == brute_spans(text)
+    assert out.count() == len(rows) and secret_scan.scan_secrets(out.select("doc_id", F.lit("").alias("text"), F.lit("").alias("source")).limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 9
+
+def brute_fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i:i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(values, within):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    listed = sorted(values)
+    for i, a in enumerate(listed):
+        for b in listed[i + 1:]:
+            if within(a, b):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {v: find(v) for v in values}
+
+
+def test_keys_meet_within_three_bits():
+    r = np.random.default_rng(1)
+    marks = r.integers(0, 1 << 63, 200).astype(np.uint64)
+    for distance in (1, 2, 3):
+        other = marks.copy()
+        for i in range(len(other)):
+            for b in r.choice(64, distance, replace=False):
+                other[i] ^= np.uint64(1) << np.uint64(b)
+        own = set(zip(*(x.tolist() for x in simhash.keys_of(marks))))
+        assert {row for row, key in zip(*(x.tolist() for x in simhash.keys_of(other))) if (row, key) in own} == set(range(len(marks)))
+
+
+@pytest.mark.parametrize("most", [1 << 16, 8])
+def test_links_find_all_components(spark, most):
+    r = random.Random(3)
+    marks = {r.getrandbits(64) for _ in range(40)}
+    for center in list(marks)[:3]:
+        chain = center
+        for _ in range(25):
+            chain ^= sum(1 << b for b in r.sample(range(64), r.randint(1, 4)))
+            marks |= {chain, center ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64))}
+    signed = [m - (1 << 64) if m >> 63 else m for m in marks]
+    links = simhash.links_within(spark.createDataFrame([(m,) for m in signed], "mark long"), 3, most)
+    got = {x.node: x.root for x in components(links).collect()}
+    want = brute_components(signed, lambda a, b: bin((a ^ b) & (1 << 64) - 1).count("1") <= 3)
+    assert all(got.get(m, m) == want[m] for m in signed)
+
+
+def test_near_duplicates(spark):
+    texts = [None, "", "  \n", "one", "One two", "one  TWO", " ".join(words(300, 1)), " ".join(words(300, 1)[:-1] + ["changed"]), "x " * 5000]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(6, texts[6], "s"), (None, texts[6], "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    out = simhash.near_duplicates(df).collect()
+    marks = {t: brute_fingerprint(t) for t in texts}
+    root = brute_components(set(marks.values()), lambda a, b: bin(a ^ b).count("1") <= 3)
+    least = {}
+    for i, t, _ in rows:
+        if i is not None:
+            least[root[marks[t]]] = min(least.get(root[marks[t]], i), i)
+    by_id = {i: t for i, t, _ in rows if i is not None}
+    for r in out:
+        text = texts[6] if r.doc_id is None else by_id[r.doc_id]
+        assert r.fingerprint == f"{marks[text]:016x}" and r.component_id == least[root[marks[text]]]
+    assert len(out) == len(rows)
+    kept = simhash.keep_first(df).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(least.values())
+    assert simhash.keep_first(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 10
+
+def brute_lines(rows):
+    sets, out = [], []
+    for _, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            own = frozenset(re.findall(r"[^\x20\x09-\x0D]+", line.translate(LOWER)))
+            if own and any(5 * len(own & s) >= 4 * len(own | s) for s in sets):
+                sets.append(own)
+                continue
+            if own:
+                sets.append(own)
+            kept.append(line)
+        out.append(None if text is None else "\n".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("most", [1 << 14, 30])
+def test_line_dedup(spark, most):
+    r = random.Random(5)
+    base = [words(r.randint(1, 40), s, 20) for s in range(30)]
+    rows = [(0, None), (1, ""), (2, "\n\n \n"), (3, "A b c d\na  B c d\na b c d e\na b c x")]
+    for i in range(4, 80):
+        lines = []
+        for _ in range(r.randint(1, 6)):
+            line = list(r.choice(base))
+            for _ in range(r.randint(0, 5)):
+                line[r.randrange(len(line))] = f"w{r.randrange(50)}"
+            r.shuffle(line)
+            lines.append(" ".join(line))
+        rows.append((i, "\n".join(lines)))
+    rows.append((90, " ".join(words(6000, 99)) + "\n" + " ".join(words(6000, 99)[::-1])))
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, row int").repartition(3)
+    out = line_dedup.dedup_lines(df, most=most)
+    assert out.columns == ["doc_id", "text", "row", "n_lines", "n_removed"]
+    got = {x.doc_id: x for x in out.collect()}
+    assert [got[i].text for i, _ in rows] == brute_lines(rows)
+    twice = spark.createDataFrame([(1, "p q r s"), (1, "p q r s"), (None, "p q r s")], "doc_id long, text string")
+    assert sorted((str(x.doc_id), x.n_removed) for x in line_dedup.dedup_lines(twice).collect()) == [("1", 0), ("1", 1), ("None", 1)]
+    assert line_dedup.dedup_lines(twice.limit(0)).count() == 0

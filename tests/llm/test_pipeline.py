@@ -1,0 +1,67 @@
+"""The corpus pipeline's stages, and the queries' oracle SQL, on the smallest tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from strata.llm.common import clear_scratch, stage
+from strata.llm.oracle import ORACLE_SQL
+from strata.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+from tests.helpers import spark_table, table
+from tests.llm.test_operators import brute_components, brute_contamination, brute_fingerprint, brute_lines, brute_quality
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_its_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = QUERIES[name](spark, SF_SMALL)
+    found = con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in found.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert spark_table(df) == table(columns, found.fetchall())
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet"))
+    items = [(r.item_id, r.text) for r in spark.read.parquet(os.path.join(SF_SMALL, "benchmark.parquet")).collect()]
+    (_, quality), (_, lines), (_, near), (_, clean), (_, pack) = corpus_pipeline.STAGES
+    before = {r.doc_id: r for r in docs.collect()}
+
+    good = stage(quality(spark, docs, SF_SMALL), "t")
+    assert good.columns == docs.columns
+    stats = {i: brute_quality(r.text) for i, r in before.items()}
+    rows = {r.doc_id: r.text for r in good.collect()}
+    assert set(rows) == {i for i, s in stats.items() if s[0] >= 50 and 100 * s[4] <= 50 * s[0]}  # no host has a line in most of 20 texts
+
+    cut = stage(lines(spark, good, SF_SMALL), "t")
+    assert cut.columns == docs.columns
+    order = sorted(rows)
+    want = dict(zip(order, brute_lines([(i, rows[i]) for i in order])))
+    got = {r.doc_id: r for r in cut.collect()}
+    assert {i: r.text for i, r in got.items()} == {i: t for i, t in want.items() if t.strip()}
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+    one = stage(near(spark, cut, SF_SMALL), "t")
+    marks = {i: brute_fingerprint(r.text) for i, r in got.items()}
+    root = brute_components(set(marks.values()), lambda a, b: bin(a ^ b).count("1") <= 3)
+    least = {}
+    for i in sorted(marks):
+        least.setdefault(root[marks[i]], i)
+    assert sorted(r.doc_id for r in one.collect()) == sorted(least.values())
+
+    left = stage(clean(spark, one, SF_SMALL), "t")
+    hits = {i: brute_contamination(got[i].text, items) for i in least.values()}
+    assert {r.doc_id for r in left.collect()} == {i for i, (n, hit, _) in hits.items() if not (hit and 20 * hit >= n)}
+
+    packed = pack(spark, left, SF_SMALL)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in left.collect()}
+    assert spark_table(corpus_pipeline.run(spark, SF_SMALL).select("doc_id", "piece", "length", "ids_crc32")) == spark_table(packed.select("doc_id", "piece", "length", "ids_crc32"))
+    clear_scratch(spark)
