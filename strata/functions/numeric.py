@@ -16,12 +16,6 @@ TOTAL = "decimal(38,2)"
 WIDE_INT = "decimal(38,0)"
 
 
-def money(c: Column | str) -> Column:
-    """Cast a source amount to ``decimal(15,2)``."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(15,2)")
-
-
 def rounded_money(expr: Column, scale: int = 2, type_: str = CENTS) -> Column:
     """``ROUND(expr, scale)`` (half away from zero) with an explicit result type."""
     return F.round(expr, scale).cast(type_)

@@ -50,8 +50,8 @@ def marketing_dashboard(marketing_mart: DataFrame) -> DataFrame:
 
 
 def export(mart: DataFrame, path: str) -> None:
-    """Write the mart, without the run stamp, as one unpartitioned Parquet dataset."""
-    mart.drop("etl_inserted").write.mode("overwrite").parquet(path)
+    """Write the mart, run stamp included, as one unpartitioned Parquet dataset."""
+    mart.write.mode("overwrite").parquet(path)
 
 
 def publish(mart: DataFrame, labels: tuple[tuple[str, str], ...], view_name: str,

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import CENTS, TOTAL, cents, half_up_ratio, month_start, rounded_money
-from strata.operators.joins import left_join_splittable
 from strata.schemas import STAMP
 
 PART_MATCHES = ("part", "part_supplier")
@@ -68,9 +67,9 @@ def wide_order_details(
     else:
         p = dim_part.select(F.col("part_key").alias("_p_key"), F.col("supplier_key").alias("_s_key"), *part_cols)
         lkeys, rkeys = ["part_key", "supplier_key"], ["_p_key", "_s_key"]
-    # The part side is the one that can be hot (many offers of one part):
-    # joined so AQE can split it (see left_join_splittable).
-    return left_join_splittable(customer_lines(fct, dim_customer), p, lkeys, rkeys).select(
+    # The fact is the preserved side: it is read and shuffled once, and AQE may split its hot parts.
+    on = [F.col(l) == F.col(r) for l, r in zip(lkeys, rkeys)]
+    return customer_lines(fct, dim_customer).join(p, on, "left").select(
         *WIDE_COLUMNS, F.lit(run_ts).alias(STAMP))
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import CENTS, day_diff, rounded_money
-from strata.operators.joins import left_join_splittable
 from strata.schemas import STAMP
 
 
@@ -103,7 +102,7 @@ def dim_part(
     pt = part_transformed(part)
     ps = partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost", "ps_availqty")
     se = supplier_enriched(supplier, nation, region)
-    joined = left_join_splittable(pt, ps, ["part_key"], ["ps_partkey"]).join(
+    joined = pt.join(ps, F.col("part_key") == F.col("ps_partkey"), "left").join(
         se, F.col("ps_suppkey") == F.col("s_suppkey"), "left")
     cols = [
         *PART_COLUMNS,

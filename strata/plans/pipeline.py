@@ -13,7 +13,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import dashboards as D
 from strata.operators.quality import key_report, rule_report, validate
-from strata.plans.snapshots import SnapshotStore
+from strata.plans.snapshots import SnapshotNotFound, SnapshotStore
 from strata.plans.tables import TableSpec, table_specs
 from strata.schemas import STAMP
 
@@ -48,6 +48,8 @@ class RunContext:
     part_match: str = "part"
     mart_input: str = "auto"
     cache_shared: bool = False
+    # Stamp of the upstream tables in a run from snapshots; None: the latest that all of them have.
+    upstream_stamp: str | None = None
 
     @property
     def resolved_mart_input(self) -> str:
@@ -67,26 +69,53 @@ class Runner:
         self.specs = specs or table_specs(ctx.resolved_mart_input)
         self.built: dict[str, DataFrame] = {}
         self.rows_written: dict[str, int] = {}
+        self._stamp: str | None = ctx.upstream_stamp
+        self._targets: tuple[str, ...] = ()
         self._consumers = {n: 0 for n in self.specs}
         for s in self.specs.values():
             for u in s.upstream:
                 self._consumers[u] += 1
 
-    def read(self, name: str) -> DataFrame:
-        """In-memory handoff if this run built it, else the latest stored snapshot."""
+    def read(self, name: str, partition_values: Mapping[str, str] | None = None) -> DataFrame:
+        """In-memory handoff if this run built it, else a stored snapshot.
+
+        That is the one with the given partition values, or the common stamp
+        of a run from snapshots, or else the latest.
+        """
         if name in self.built:
             return self.built[name]
         spec = self.specs[name]
         if self.ctx.store is None:
             raise ValueError(f"{name} was not built in this run and there is no store to read it from")
+        if partition_values is None and not self.ctx.run_upstream:
+            partition_values = {STAMP: self.common_stamp()}
+        if partition_values:
+            return self.ctx.store.read_partition(spec.layer, spec.name, partition_values, data_format=spec.data_format)
         return self.ctx.store.read_latest(spec.layer, spec.name, data_format=spec.data_format)
 
+    def common_stamp(self) -> str:
+        """The latest stamp that all upstream tables of this run have: a half-finished run is not mixed in."""
+        if self._stamp is None:
+            wanted = sorted({u for n in self._targets for u in self.specs[n].upstream} - set(self._targets))
+            sets = [set(self.ctx.store.stamps(self.specs[u].layer, u)) for u in wanted]
+            common = set.intersection(*sets) if sets else set()
+            if not common:
+                raise SnapshotNotFound(f"no common snapshot of {', '.join(wanted)}")
+            self._stamp = max(common)
+        return self._stamp
+
+    def aim(self, *names: str) -> None:
+        """Say beforehand which tables this run is for, so that all of them read upstream tables of one stamp."""
+        self._targets = (*self._targets, *names)
+
     def run(self, name: str, _path: tuple[str, ...] = ()) -> DataFrame:
         if name in self.built:
             return self.built[name]
         if name in _path:
             raise ValueError(f"dependency cycle: {' -> '.join((*_path, name))}")
         spec = self.specs[name]
+        if not _path and name not in self._targets:
+            self._targets = (*self._targets, name)
         inputs = {}
         for up in spec.upstream:
             inputs[up] = self.run(up, (*_path, name)) if self.ctx.run_upstream else self.read(up)
@@ -96,7 +125,7 @@ class Runner:
             # Validate before loading, as specified: a failed table is never
             # written.  Duplicate-key detection needs its own aggregation, so
             # this is one extra pass over the table.
-            validate(spec.name, df, spec.keys, spec.rules)
+            validate(spec.name, df, spec.keys if spec.unique else (), spec.rules)
         if self.ctx.load_data:
             t0 = time.perf_counter()
             sc = self.ctx.spark.sparkContext
@@ -104,8 +133,8 @@ class Runner:
             # Rows written, counted by the write job itself (observed metric: no extra pass).
             rows = Observation(f"rows_{spec.layer}_{spec.name}_{uuid.uuid4().hex[:8]}")
             try:
-                self.ctx.store.write(df.observe(rows, F.count(F.lit(1)).alias("rows")),
-                                     spec.layer, spec.name, spec.partition_keys, spec.data_format)
+                counted = df.drop(STAMP).observe(rows, F.count(F.lit(1)).alias("rows"))
+                self.ctx.store.write_stamp(counted, spec.layer, spec.name, self.ctx.run_ts, spec.data_format)
             finally:
                 sc.setJobDescription(None)
             self.rows_written[spec.name] = rows.get["rows"]
@@ -121,7 +150,9 @@ class Runner:
         return out
 
     def run_all(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-        for n in names or self.specs:
+        names = list(names or self.specs)
+        self.aim(*names)
+        for n in names:
             self.run(n)
         return dict(self.built)
 
@@ -139,14 +170,19 @@ def run_pipeline(ctx: RunContext, finance_export: str | None = None,
     """Finance mart and dashboard, then marketing mart and dashboard.
 
     All 14 tables are built once (the wide table included) and both
-    dashboards are exported and registered as views.
+    dashboards are exported and registered as views.  From snapshots
+    (``run_upstream=False``) only the marts and dashboards are built, on
+    upstream tables of one common stamp.
     """
     runner = Runner(ctx)
+    runner.aim("finance_metrics", "marketing_metrics")
     out = {}
     out["finance_metrics"] = runner.run("finance_metrics")
     out[D.FINANCE_VIEW] = D.publish(out["finance_metrics"], D.FINANCE_LABELS, D.FINANCE_VIEW, finance_export)
     out["marketing_metrics"] = runner.run("marketing_metrics")
     out[D.MARKETING_VIEW] = D.publish(out["marketing_metrics"], D.MARKETING_LABELS, D.MARKETING_VIEW,
                                       marketing_export)
-    out.update(runner.run_all())
+    if ctx.run_upstream:
+        runner.run_all()
+    out.update(runner.built)
     return out

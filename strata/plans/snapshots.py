@@ -1,11 +1,10 @@
 """Time-stamped snapshots: Hive-partitioned datasets, one partition per run.
 
 Layout: ``{root}/{layer}/{name}/etl_inserted=<stamp>/part-*.parquet`` on any
-Hadoop filesystem (``file:``, ``hdfs:``, ``s3a:``).  Writes replace only the
-partitions they produce (dynamic overwrite), so re-running a stamp is
-idempotent and older snapshots stay.  Reads never build paths from values:
-they filter the partition column and let Spark prune directories.  The
-stamp is always read as a string; its type is never inferred.
+Hadoop filesystem (``file:``, ``hdfs:``, ``s3a:``).  A write replaces the whole
+directory of its stamp, also with no rows, so re-running a stamp is idempotent
+and older snapshots stay.  Reads take the schema of the snapshot they read.
+The stamp is always read as a string; its type is never inferred.
 """
 
 from __future__ import annotations
@@ -21,6 +20,10 @@ from pyspark.sql import types as T
 from strata.schemas import STAMP
 
 
+# Characters that Spark escapes in partition directory names (fixed values), as far as stamps may hold them.
+_ESCAPED = {c: f"%{ord(c):02X}" for c in "\"#%'*/:=?\\\x7f{[]^"} | {chr(i): f"%{i:02X}" for i in range(1, 32)}
+
+
 class SnapshotNotFound(LookupError):
     """No snapshot partition exists for the table."""
 
@@ -34,10 +37,34 @@ class SnapshotStore:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def partition_path(self, layer: str, name: str, stamp: str) -> str:
+        """The directory of one stamp, named as Spark names partition directories."""
+        return f"{self.path(layer, name)}/{STAMP}={''.join(_ESCAPED.get(c, c) for c in stamp)}"
+
+    def write_stamp(self, df: DataFrame, layer: str, name: str, stamp: str, data_format: str | None = None,
+                    max_records_per_file: int | None = None) -> str:
+        """Write ``df`` (without its stamp) as the whole content of the stamp's directory.
+
+        The directory is replaced even by an empty result, so running a stamp
+        again is idempotent.  No dynamic partitioning: no sort by the constant
+        stamp and no renames into partition directories.  Adaptive execution
+        sizes the files (the rebalance hint merges small and splits large
+        shuffle partitions).
+        """
+        path = self.partition_path(layer, name, stamp)
+        w = df.drop(STAMP).hint("rebalance").write.format(data_format or self.data_format).mode("overwrite")
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", str(max_records_per_file))
+        w.save(path)
+        return path
+
     def write(self, df: DataFrame, layer: str, name: str,
               partition_keys: Sequence[str] = (STAMP,), data_format: str | None = None,
               max_records_per_file: int | None = None) -> str:
-        """Write ``df`` partitioned by ``partition_keys``; replaces only the partitions written."""
+        """Write ``df`` partitioned by any columns; replaces only the partitions found in the data.
+
+        A run's table, which has one stamp, is written with ``write_stamp``.
+        """
         path = self.path(layer, name)
         w = df.write.format(data_format or self.data_format).mode("overwrite")
         if partition_keys:
@@ -47,78 +74,57 @@ class SnapshotStore:
         w.save(path)
         return path
 
-    def _load(self, layer: str, name: str, partition_keys: Sequence[str],
+    def _load(self, path: str, base: str, partition_keys: Sequence[str],
               schema: T.StructType | None, data_format: str | None) -> DataFrame:
-        path = self.path(layer, name)
+        """Read ``path``; partition columns (of directories below ``base``) are strings, never inferred."""
         fmt = data_format or self.data_format
-        reader = self.spark.read.format(fmt)
-        if schema is not None:
+        try:
+            if schema is None:
+                schema = self.spark.read.format(fmt).load(path).schema
             schema = T.StructType(
                 [f for f in schema.fields if f.name not in partition_keys]
                 + [T.StructField(k, T.StringType(), True) for k in partition_keys]
             )
-        try:
-            if schema is None:
-                # Learn the data columns from the files, then pin every
-                # partition column to string (no type inference).
-                inferred = reader.load(path).schema
-                schema = T.StructType(
-                    [f for f in inferred.fields if f.name not in partition_keys]
-                    + [T.StructField(k, T.StringType(), True) for k in partition_keys]
-                )
-            return self.spark.read.format(fmt).schema(schema).load(path)
+            return self.spark.read.format(fmt).option("basePath", base).schema(schema).load(path)
         except AnalysisException as e:
-            msg = str(e)
-            if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg:
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
                 raise SnapshotNotFound(f"no snapshot found under {path}") from e
             raise
 
-    @staticmethod
-    def _stamps_of(df: DataFrame) -> list[str]:
-        prefix = f"{STAMP}="
-        # inputFiles() are URIs of escaped directory names: decode the URI,
-        # then Spark's partition-path escaping (":" is stored as "%3A").
-        found = {
-            unquote(unquote(seg)[len(prefix):])
-            for f in df.inputFiles()
-            for seg in f.split("/")
-            if seg.startswith(prefix)
-        }
-        return sorted(found)
-
-    def stamps(self, layer: str, name: str, schema: T.StructType | None = None,
-               data_format: str | None = None) -> list[str]:
-        """All stored ``etl_inserted`` values, oldest first.
-
-        Taken from the file listing Spark already holds on the driver (the
-        partition directory names), so no job runs and no data or footer is
-        read, however many snapshots exist.  Partitions without files (an
-        empty write creates none) are not listed.
-        """
-        return self._stamps_of(self._load(layer, name, (STAMP,), schema, data_format))
-
-    def latest_stamp(self, layer: str, name: str, schema: T.StructType | None = None,
-                     data_format: str | None = None) -> str:
+    def stamps(self, layer: str, name: str) -> list[str]:
+        """All stored ``etl_inserted`` values, oldest first: one listing of the table's directory, no files."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
+        files = where.getFileSystem(conf)
+        if not files.exists(where):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+        return sorted(unquote(n[len(STAMP) + 1:]) for n in names if n.startswith(f"{STAMP}="))
+
+    def latest_stamp(self, layer: str, name: str) -> str:
         """The greatest ``etl_inserted`` value present."""
-        found = self.stamps(layer, name, schema, data_format)
+        found = self.stamps(layer, name)
         if not found:
             raise SnapshotNotFound(f"no snapshot found under {self.path(layer, name)}")
         return found[-1]
 
     def read_latest(self, layer: str, name: str, schema: T.StructType | None = None,
                     data_format: str | None = None) -> DataFrame:
-        """Rows of the most recent snapshot; the scan is pruned to that partition."""
-        df = self._load(layer, name, (STAMP,), schema, data_format)
-        found = self._stamps_of(df)
-        if not found:
-            raise SnapshotNotFound(f"no snapshot found under {self.path(layer, name)}")
-        return df.where(F.col(STAMP) == F.lit(found[-1]))
+        """Rows of the most recent snapshot, with the columns of that snapshot."""
+        return self.read_partition(layer, name, {STAMP: self.latest_stamp(layer, name)}, schema, data_format)
 
     def read_partition(self, layer: str, name: str, partition_values: Mapping[str, str],
                        schema: T.StructType | None = None, data_format: str | None = None) -> DataFrame:
-        """Rows of the named partition(s): one equality filter per entry, any number of keys."""
+        """Rows of the named partition(s): one equality filter per entry, any number of keys.
+
+        A table partitioned by the stamp alone is read from the stamp's own
+        directory, so other snapshots are neither listed nor asked for a schema.
+        """
+        base = self.path(layer, name)
         keys = tuple(partition_values) or (STAMP,)
-        df = self._load(layer, name, keys, schema, data_format)
+        if keys == (STAMP,) and partition_values:
+            return self._load(self.partition_path(layer, name, str(partition_values[STAMP])), base, keys, schema, data_format)
+        df = self._load(base, base, keys, schema, data_format)
         for k, v in partition_values.items():
             df = df.where(F.col(k) == F.lit(str(v)))
         return df

@@ -129,7 +129,7 @@ def _two_snapshots(spark, sf_dir, name: str) -> SnapshotStore:
     build = {"fct_orders": _fct_orders, "dim_customer": _dim_customer, "dim_part": _dim_part}[name]
     src = _src(spark, sf_dir)
     for ts in (RUN_TS, RUN_TS_NEXT):
-        store.write(build(src, ts), "silver", name)
+        store.write_stamp(build(src, ts), "silver", name, ts)
     return store
 
 
@@ -200,6 +200,60 @@ def q_pipeline_stored(spark, sf_dir):
     return spark.read.parquet(root + "/interface/finance")
 
 
+def q_snapshot_rerun(spark, sf_dir):
+    """A stamp written, run again with fewer rows (orders of odd keys), and read back."""
+    store = SnapshotStore(spark, scratch_dir(spark, "rerun"))
+    df = _fct_orders(_src(spark, sf_dir))
+    for rows in (df, df.where("order_key % 2 = 1")):
+        store.write_stamp(rows, "silver", "fct_orders", RUN_TS)
+    return store.read_latest("silver", "fct_orders")
+
+
+def q_latest_wider_snapshot(spark, sf_dir):
+    """A second snapshot with one more column (the supplier key); the latest has it."""
+    store = SnapshotStore(spark, scratch_dir(spark, "wider"))
+    store.write_stamp(_dim_part(_src(spark, sf_dir)), "silver", "dim_part", RUN_TS)
+    store.write_stamp(_dim_part(_src(spark, sf_dir, "lines"), RUN_TS_NEXT), "silver", "dim_part", RUN_TS_NEXT)
+    return store.read_latest("silver", "dim_part")
+
+
+def _stored(spark, sf_dir, root: str, **kw) -> RunContext:
+    return RunContext(spark=spark, source=_src(spark, sf_dir), store=SnapshotStore(spark, root + "/lake"), run_ts=RUN_TS, as_of=AS_OF, **kw)
+
+
+def q_pipeline_from_snapshots(spark, sf_dir):
+    """A stored run, then the marts alone at the next stamp, from the stored tables; the finance export is read back."""
+    root = scratch_dir(spark, "from-snapshots")
+    run_pipeline(_stored(spark, sf_dir, root))
+    ctx = _stored(spark, sf_dir, root, run_upstream=False)
+    ctx.run_ts = RUN_TS_NEXT
+    ctx.source = None
+    run_pipeline(ctx, finance_export=root + "/finance")
+    return spark.read.parquet(root + "/finance")
+
+
+def q_marketing_export(spark, sf_dir):
+    """The marketing mart exported and read back."""
+    path = scratch_dir(spark, "marketing") + "/export"
+    D.publish(q_marketing_metrics(spark, sf_dir), D.MARKETING_LABELS, D.MARKETING_VIEW, path)
+    return spark.read.parquet(path)
+
+
+def q_finance_dashboard_view(spark, sf_dir):
+    """The registered view, read by its name."""
+    D.publish(q_finance_metrics(spark, sf_dir), D.FINANCE_LABELS, D.FINANCE_VIEW)
+    return spark.table(D.FINANCE_VIEW)
+
+
+def q_wide_order_details_misses(spark, sf_dir):
+    """The grain join over offers that cover few of the sold (part, supplier) pairs: most lines stay without a part."""
+    fo, dc, _ = _silver(spark, sf_dir)
+    src = _src(spark, sf_dir)
+    dp = S.dim_part(src.table("part"), src.table("partsupp"), src.table("supplier"), src.table("nation"), src.table("region"), RUN_TS,
+                    with_supplier_key=True)
+    return G.wide_order_details(fo, dc, dp, RUN_TS, "part_supplier")
+
+
 QUERIES: dict[str, Query] = {
     "finance_core": q_finance_core,
     **{f"bronze_{t}": _bronze_query(t) for t in SOURCE_TABLES},
@@ -225,4 +279,10 @@ QUERIES: dict[str, Query] = {
     "pipeline_finance": q_pipeline_finance,
     "pipeline_marketing": q_pipeline_marketing,
     "pipeline_stored": q_pipeline_stored,
+    "snapshot_rerun": q_snapshot_rerun,
+    "latest_wider_snapshot": q_latest_wider_snapshot,
+    "pipeline_from_snapshots": q_pipeline_from_snapshots,
+    "marketing_export": q_marketing_export,
+    "finance_dashboard_view": q_finance_dashboard_view,
+    "wide_order_details_misses": q_wide_order_details_misses,
 }

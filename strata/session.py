@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -78,17 +78,18 @@ def build_session(
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A directory on the cluster's shared storage.
 
-    The root is the session's ``spark.checkpoint.dir``.  Only when it is
-    unset (local tests) a local default is installed; on a cluster the
-    setting names a shared filesystem (HDFS, S3A, ...), never a machine-local
-    folder.
+    The root is the session's ``spark.checkpoint.dir``, which names a shared
+    filesystem (HDFS, S3A, ...).  Only a local session, where driver and
+    executors are one process, may leave it unset: it gets a fresh temporary
+    folder.  On a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "strata-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder on storage that all executors share")
+        root = tempfile.mkdtemp(prefix="strata-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return "/".join([root.rstrip("/"), *parts])

@@ -245,65 +245,3 @@ def test_exact_averages_agree_with_builtin_avg(spark):
     )
     assert got.where(F.col("mine") != F.col("builtin")).count() == 0
     assert got.count() > 100
-
-
-def test_splittable_left_join_equals_left_join(spark):
-    from tests.helpers import spark_table
-
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k long, v string")
-    right = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (3, 30), (None, 99), (4, 40)], "rk long, w int")
-    from strata.operators.joins import left_join_splittable
-
-    got = left_join_splittable(left, right, ["k"], ["rk"])
-    want = left.join(right, F.col("k") == F.col("rk"), "left")
-    assert spark_table(got) == spark_table(want)
-    # two keys, NULL in one part of the key
-    l2 = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c")], "a long, b long, v string")
-    r2 = spark.createDataFrame([(1, 1, 10), (1, 1, 11), (2, 2, 5), (None, 1, 7)], "x long, y long, w int")
-    got2 = left_join_splittable(l2, r2, ["a", "b"], ["x", "y"])
-    want2 = l2.join(r2, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left")
-    assert spark_table(got2) == spark_table(want2)
-
-
-def test_hot_right_key_is_split_only_by_the_splittable_join(spark):
-    """One key holds a third of the right rows.  AQE cannot split the non-preserved side of a
-    left outer join; the inner + anti rewrite lets it (SortMergeJoin(skew=true))."""
-    import contextlib
-    import io
-
-    from strata.operators.joins import left_join_splittable
-
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    saved = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        left = spark.range(0, 2000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-        right = spark.range(0, 30000).select(
-            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000).alias("rk"), F.col("id").alias("w"))
-
-        def final_plan(df):
-            df.rdd.count()
-            buf = io.StringIO()
-            with contextlib.redirect_stdout(buf):
-                df.explain()
-            return buf.getvalue().split("\n+- == Initial Plan ==")[0]
-
-        plain = left.join(right, F.col("k") == F.col("rk"), "left")
-        ours = left_join_splittable(left, right, ["k"], ["rk"])
-        assert "skew=true" not in final_plan(plain)
-        assert "skew=true" in final_plan(ours)
-        assert ours.count() == plain.count()
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

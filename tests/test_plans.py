@@ -37,11 +37,20 @@ def test_marketing_mart_is_one_pass(spark):
     assert "Window" not in plan                  # the top brand is an aggregate, not a second pipeline
 
 
-def test_part_joins_are_skew_splittable(spark):
-    for name in ("dim_part", "wide_order_details"):
-        plan = _plan(QUERIES[name](spark, SF_SMALL))
-        assert "LeftAnti" in plan, name
-        assert not re.search(r"Join \[part_key#\d+L\], \[(ps_partkey|_p_key)#\d+L\], LeftOuter", plan), name
+def _static(df) -> str:
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_the_fact_is_read_once(spark):
+    for name in ("wide_order_details", "finance_metrics_via_wide", "marketing_metrics_via_wide"):
+        plan = _static(QUERIES[name](spark, SF_SMALL))
+        assert len(re.findall(r"FileScan parquet \[[^]]*l_orderkey", plan)) == 1, name
+        assert "LeftAnti" not in plan, name
+
+
+def test_bronze_is_a_map_only_copy(spark):
+    for name in ("bronze_lineitem", "bronze_orders", "bronze_customer", "bronze_part"):
+        assert "Exchange" not in _plan(QUERIES[name](spark, SF_SMALL)), name
 
 
 def _ancestors(lines: list[str], i: int) -> list[str]:
@@ -73,7 +82,7 @@ def test_ancestor_check_detects_a_broadcast_fact(spark):
 
     from strata.sources import FixtureSource
 
-    src = FixtureSource(spark, SF_SMALL, min_splits=1)
+    src = FixtureSource(spark, SF_SMALL)
     df = src.table("orders").join(F.broadcast(src.table("lineitem")), F.col("o_orderkey") == F.col("l_orderkey"))
     lines = _plan(df).split("== Initial Plan ==")[0].splitlines()
     i = next(i for i, l in enumerate(lines) if "FileScan parquet" in l and "/lineitem.parquet" in l)
