@@ -98,7 +98,7 @@ found AS (
 {_spans(0, _ASSIGN, f"length({_VALUE}) >= 6", _VALUE)} UNION ALL
 {_spans(1, "AKIA[A-Z0-9]{16,}", "true")} UNION ALL
 {_spans(2, "[0-9a-f]{24,}", "true")} UNION ALL
-{_spans(3, "[A-Za-z0-9+/_=-]{20,}", _MIXED)}),
+{_spans(3, "[A-Za-z0-9+/_-]{20,}={0,2}", _MIXED)}),
 owned AS (
   SELECT value, count(DISTINCT coalesce(source, '')) AS n_owners FROM found JOIN doc USING (r) GROUP BY value),
 judged AS (

@@ -28,7 +28,7 @@ ASSIGN_VALUE_LENGTH = 6
 KINDS = ("assign", "access", "hex", "live")
 
 # A candidate of the method: a run of credential characters with a digit, a lower-case and an upper-case letter.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # A value is live-looking if at most this many owners hold it; more owners make it a copied example.
 MAX_OWNERS = 1
 
