@@ -123,7 +123,8 @@ class SnapshotStore:
         base = self.path(layer, name)
         keys = tuple(partition_values) or (STAMP,)
         if keys == (STAMP,) and partition_values:
-            return self._load(self.partition_path(layer, name, str(partition_values[STAMP])), base, keys, schema, data_format)
+            df = self._load(self.partition_path(layer, name, str(partition_values[STAMP])), base, keys, schema, data_format)
+            return df.where(F.col(STAMP) == F.lit(str(partition_values[STAMP])))
         df = self._load(base, base, keys, schema, data_format)
         for k, v in partition_values.items():
             df = df.where(F.col(k) == F.lit(str(v)))
