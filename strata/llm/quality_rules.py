@@ -3,8 +3,8 @@
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed.  For
 each host the operator counts the distinct documents that hold a line; equal
 texts of a host count once, so copies of a document do not turn its lines into
-boilerplate.  A line above the host's limit is removed, and a document that
-keeps too small a share of its words is depleted and rejected.
+boilerplate.  A line above the host's limit is removed from the text, and a
+document that keeps too small a share of its words is depleted and rejected.
 
 Edge cases: a null text has no words and fails the base rules; a null host is
 one host of its own, shared with the empty string; repeated rows get equal
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, fresh, stage
+from strata.llm.common import fresh, stage
 
 # Fixed values of the contract: white space that parts words, and symbols.
 SPACE = " \t\n\x0b\f\r"
@@ -94,63 +94,83 @@ def _text_key(text_col: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
+def normal_line(raw: Column) -> Column:
+    words = F.regexp_replace(F.btrim(raw, F.lit(SPACE)), r"[\x20\x09-\x0D]+", " ")
+    return F.translate(words, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def line_table(df: DataFrame, text_col: str, host_col: str) -> DataFrame:
-    """(host, text_key, line, n): the distinct normalised lines of each distinct text of a host, by hash, with their words."""
-    words = F.regexp_replace(F.btrim(F.col("raw"), F.lit(SPACE)), r"[\x20\x09-\x0D]+", " ")
-    normal = F.translate(words, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """(host, text_key, line): the distinct normalised lines of each distinct text of a host, by hash."""
     return (
         df.select(_host(df, host_col).alias("host"), _text_key(text_col).alias("text_key"), F.explode(F.split(text_col, "\n")).alias("raw"))
-        .select("host", "text_key", normal.alias("line"))
+        .select("host", "text_key", normal_line(F.col("raw")).alias("line"))
         .where(F.length("line") > 0)
-        .select("host", "text_key", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"),
-                (F.length("line") - F.length(_without(F.col("line"), " ")) + 1).alias("n"))
-        .groupBy("host", "text_key", "line").agg(F.max("n").alias("n"))
+        .select("host", "text_key", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"))
+        .distinct()
     )
 
 
-def depleted_texts(df: DataFrame, scratch: Scratch, text_col: str = "text", host_col: str = "source", max_doc_share: float = MAX_DOC_SHARE,
-                   min_docs: int = MIN_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
-    """(host, text_key, n_removed_words) of the texts that keep less than ``min_kept_share`` of their lines' words.
+def frequent_lines(df: DataFrame, text_col: str = "text", host_col: str = "source", max_doc_share: float = MAX_DOC_SHARE,
+                   min_docs: int = MIN_DOCS) -> DataFrame:
+    """(host, lines): the hashes (hex) of the lines above the host's limit, for hosts that have any.
 
-    Every grouping starts from rows that are combined before their shuffle,
-    and a line that a third of all texts hold is one row per host when joined
-    back: its other side is what adaptive execution may split.
+    Every grouping starts from rows that are combined before their shuffle.  A
+    host has at most as many such lines as its texts have on average, divided
+    by the share, however many texts it has.
     """
-    lines = scratch.stage(line_table(df, text_col, host_col), "host_lines")
     hosts = (df.select(_host(df, host_col).alias("host"), _text_key(text_col).alias("text_key")).distinct()
              .groupBy("host").agg(F.count("*").alias("n_docs")))
-    frequent = (
-        lines.groupBy("host", "line").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") >= min_docs)
-        .join(hosts, "host").where(F.col("n_texts") > F.lit(max_doc_share) * F.col("n_docs"))
-        .select("host", "line", F.lit(True).alias("frequent"))
-    )
-    removed = F.sum(F.when(F.col("frequent"), F.col("n")).otherwise(0))
     return (
-        lines.join(frequent, ["host", "line"], "left")
-        .groupBy("host", "text_key").agg(removed.alias("n_removed_words"), F.sum("n").alias("n"))
-        .where((F.col("n_removed_words") > 0) & (F.col("n") - F.col("n_removed_words") < F.lit(min_kept_share) * F.col("n")))
-        .drop("n")
+        line_table(df, text_col, host_col).groupBy("host", "line").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") >= min_docs)
+        .join(hosts, "host").where(F.col("n_texts") > F.lit(max_doc_share) * F.col("n_docs"))
+        .groupBy("host").agg(F.collect_list(F.lower(F.hex("line"))).alias("lines"))
     )
 
 
-def quality_rules(df: DataFrame, text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """``df`` plus the statistics, ``base_failed`` and ``kept`` (renamed with leading underscores if they clash).
+def without_lines(text: Column, frequent: Column) -> Column:
+    """(text, n, n_removed): the text without its frequent lines, and the words of its distinct lines, all and removed ones; null if it has none."""
+
+    def keyed(raw: Column) -> Column:
+        return _let(normal_line(raw), lambda line: F.struct(
+            raw.alias("raw"), F.md5(line.cast("binary")).alias("key"),
+            F.when(F.length(line) > 0, F.length(line) - F.length(_without(line, " ")) + 1).otherwise(0).alias("n")))
+
+    def cut(lines: Column, hits: Column) -> Column:
+        distinct = F.array_distinct(F.transform(lines, lambda x: F.struct(x["key"].alias("key"), x["n"].alias("n"))))
+        total = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda sum_, x: sum_ + x["n"])
+        left = F.filter(lines, lambda x: ~F.array_contains(hits, x["key"]))
+        return F.struct(F.array_join(F.transform(left, lambda x: x["raw"]), "\n").alias("text"), total(distinct).alias("n"),
+                        total(F.filter(distinct, lambda x: F.array_contains(hits, x["key"]))).alias("n_removed"))
+
+    def found(lines: Column) -> Column:
+        hits = F.array_intersect(F.transform(lines, lambda x: x["key"]), frequent)
+        return _let(hits, lambda h: F.when(F.size(h) > 0, cut(lines, h)))
+
+    return F.when(frequent.isNotNull() & text.isNotNull(), _let(F.transform(F.split(text, "\n"), keyed), found))
+
+
+def quality_rules(df: DataFrame, text_col: str = "text", host_col: str = "source", max_doc_share: float = MAX_DOC_SHARE,
+                  min_docs: int = MIN_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
+    """``df``, its texts without the lines above their host's limit, plus the statistics, ``base_failed`` and ``kept``.
 
-    The depleted texts are written first, so their measured size decides
-    whether the join sends them to all executors or shuffles both sides.
+    The statistics are those of the whole text.  New columns get leading
+    underscores if they clash.  The frequent lines are written first, so their
+    measured size decides whether the join sends them to all executors or
+    shuffles both sides.
     """
-    with Scratch(df.sparkSession) as scratch:
-        depleted = stage(depleted_texts(df, scratch, text_col, host_col, **limits), "depleted")
-    names = fresh(df.columns, *STATISTICS, "base_failed", "kept", "host_key", "text_key")
-    own, (failed, kept, host, key) = tuple(names[:5]), names[5:]
-    depleted = depleted.select(F.col("host").alias(host), F.col("text_key").alias(key), F.lit(True).alias(kept))
-    out = text_statistics(df.select("*", _host(df, host_col).alias(host), _text_key(text_col).alias(key)), text_col, own)
-    out = out.join(depleted, [host, key], "left")
+    frequent = stage(frequent_lines(df, text_col, host_col, max_doc_share, min_docs), "frequent")
+    names = fresh(df.columns, *STATISTICS, "base_failed", "kept", "host_key", "cut")
+    own, (failed, kept, host, cut) = tuple(names[:5]), names[5:]
+    out = df.select("*", _host(df, host_col).alias(host)).join(frequent.select(F.col("host").alias(host), F.col("lines").alias(cut)), host, "left")
+    out = text_statistics(out, text_col, own).withColumn(cut, without_lines(F.col(text_col), F.col(cut)))
     fails = base_failed(F.col(own[0]), F.col(own[4]))
-    return out.select(*df.columns, *own, fails.alias(failed), (~fails & F.col(kept).isNull()).alias(kept))
+    n, removed = F.col(cut)["n"], F.col(cut)["n_removed"]
+    depleted = F.coalesce(n - removed < F.lit(min_kept_share) * n, F.lit(False))
+    columns = [F.coalesce(F.col(cut)["text"], F.col(c)).alias(c) if c == text_col else F.col(c) for c in df.columns]
+    return out.select(*columns, *own, fails.alias(failed), (~fails & ~depleted).alias(kept))
 
 
 def keep_good(df: DataFrame, text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """The documents of ``df`` that pass, with their own columns."""
+    """The documents of ``df`` that pass, with their own columns, less the lines above their host's limit."""
     out = quality_rules(df, text_col, host_col, **limits)
     return out.where(F.col(out.columns[-1])).select(*df.columns)

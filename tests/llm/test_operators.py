@@ -121,6 +121,20 @@ def test_quality_rules(spark):
     assert quality_rules.keep_good(copies).count() == 100 and quality_rules.keep_good(copies.limit(0)).count() == 0
 
 
+def test_lines_above_the_limit_are_removed(spark):
+    own = lambda i: " ".join(words(60, 900 + i))
+    rows = [(i, f"Shared  LINE é\n\n{own(i)}\nshared line é\n{own(i)}\n", "a") for i in range(25)]
+    rows += [(100 + i, own(100 + i), "a") for i in range(5)] + [(200, rows[0][1], "b"), (201, None, "a")]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    for i, text, host in rows:
+        assert out[i].text == (f"\n{own(i)}\n{own(i)}\n" if i < 25 else text), i
+        assert tuple(out[i])[3:8] == brute_quality(text)
+    single = docs.withColumn("text", F.regexp_replace("text", r"(?s)shared line é\n.*", ""))
+    kept = {r.doc_id: r.text for r in quality_rules.keep_good(single).collect()}
+    assert kept[0] == f"\n{own(0)}\n" and kept[200] == f"Shared  LINE é\n\n{own(0)}\n" and 201 not in kept
+
+
 # ---------------------------------------------------------------- 4
 
 def test_configurations_hold_every_piece():
