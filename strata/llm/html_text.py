@@ -2,7 +2,7 @@
 
 Markup is stripped into lines, one per block element; an element that never
 holds article text (navigation, forms, scripts, adverts, reader comments ...)
-leaves blank lines instead.  The text length of every window of a few lines
+leaves blank lines instead, unless it stands in the middle of its parent's text.  The text length of every window of a few lines
 is summed; where the sum leaves zero the text surges, where it falls back it
 dives, and the lines between form a region.  The region with the most text is
 the article, together with every other region whose peak comes near its own.
@@ -45,6 +45,10 @@ MARKS = frozenset((
     "masthead footer related recommended share sharing social cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login comment comments disqus respond replies reply pagination pager toolbar widget widgets skip complementary contentinfo search dialog").split())
 ARTICLE = frozenset(("article", "main"))
+# Elements that text consists of; every other one that begins a line is a container of text.
+TEXT = frozenset("address blockquote caption dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol option p pre summary table tbody td tfoot th thead tr ul".split())
+# Containers of the whole page: text beside a dropped element goes on behind it only if both lie in the container itself.
+PAGE = frozenset(("html", "body"))
 # An open element that one of these ends: a paragraph ends where a block begins.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -62,19 +66,35 @@ class _Lines:
         self.linked: list[bool] = []
         self.text: list[str] = []
         self.in_links = 0
+        self.n = 0
+        self.holder = 0  # container of the last line
+        self.cuts: list[tuple[int, int, bool]] = []
 
     def add(self, raw: str, link: bool) -> None:
         self.text.append(raw)
         if link:
             self.in_links += len(raw.strip())
 
-    def end_line(self, in_article: bool) -> None:
+    def end_line(self, in_article: bool, places: list[tuple[int, int, int]]) -> None:
+        """End a line of text in the innermost of ``places``: (number, lines before, number of its container) of the open elements."""
         line = " ".join(html.unescape("".join(self.text)).split()) if self.text else ""
         if line:
+            holder = places[-1][2] if places else 0
+            if any((depth and (len(places) < depth or places[depth - 1][0] != number)) or (direct and holder != number) for depth, number, direct in self.cuts):
+                self.gap()
+            self.cuts, self.holder, self.n = [], holder, self.n + 1
             self.lines.append(line)
             self.linked.append(not in_article and self.in_links >= LINK_SHARE * len(line))
         self.text, self.in_links = [], 0
 
+    def cut(self, places: list[tuple[int, int, int]], page: bool) -> None:
+        """An element of the innermost of ``places`` was dropped: blank lines, unless that one has text before and has the next text as well."""
+        number, before, _ = places[-1] if places else (0, 0, 0)
+        if self.n == before or (page and self.holder != number):
+            self.gap()
+        else:
+            self.cuts.append((len(places), number, page))
+
     def gap(self) -> None:
         self.lines += [""] * WINDOW
         self.linked += [False] * WINDOW
@@ -93,6 +113,8 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     """The page's lines, with blank lines for what is dropped, and whether each is a menu line.  Time is linear in the page."""
     out = _Lines()
     stack: list[str] = []  # open elements
+    places: list[tuple[int, int, int]] = []  # as end_line() takes them
+    number = 0
     dropped = 0  # depth of the stack at which an element is dropped; 0: none
     article = links = 0
     at, end, quotes = 0, len(page), True
@@ -132,21 +154,23 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
         if closing:
             if name in stack:
                 if name in BLOCK and not dropped:
-                    out.end_line(article > 0)
+                    out.end_line(article > 0, places)
                 while True:
                     top = stack.pop()
+                    places.pop()
                     article -= top in ARTICLE
                     links -= top == "a"
                     if dropped and len(stack) < dropped:
                         dropped = 0
                         if not article:
-                            out.gap()
+                            out.cut(places, not stack or stack[-1] in PAGE)
                     if top in ARTICLE and not article and not dropped:
                         out.gap()
                     if top == name:
                         break
             continue
         if name == "body" and "head" in stack:  # the end tag of the head may be left out
+            del places[stack.index("head"):]
             del stack[stack.index("head"):]
             dropped = 0
         if name == "br":
@@ -155,9 +179,10 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             continue
         if name in BLOCK:
             if not dropped:
-                out.end_line(article > 0)
+                out.end_line(article > 0, places)
             while stack and (stack[-1] == "p" or stack[-1] in CLOSES.get(name, ())) and not (dropped and len(stack) <= dropped):
                 stack.pop()
+                places.pop()
         if name in VOID:
             continue
         if name in RAW:
@@ -170,6 +195,8 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             continue
         if attributes.endswith("/") and name not in BLOCK:
             continue
+        number += 1
+        places.append((number, out.n, number if name in BLOCK and name not in TEXT else places[-1][2] if places else 0))
         stack.append(name)
         article += name in ARTICLE
         links += name == "a"
@@ -177,10 +204,10 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             if name in ARTICLE and article == 1:
                 out.gap()
             if name in DROPPED or (name == "header" and not article) or (name not in ("html", "body") and name not in ARTICLE and attributes and marked(attributes)):
-                out.end_line(article > 0)
+                out.end_line(article > 0, places)
                 dropped = len(stack)
     if not dropped:
-        out.end_line(article > 0)
+        out.end_line(article > 0, places)
     return out.lines, out.linked
 
 

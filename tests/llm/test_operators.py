@@ -214,6 +214,19 @@ def test_main_text():
     assert html_text.main_text("<div>" * 50_000 + "x") == "x" and len(html_text.main_text("<p>a" * 20_000)) == 39_999
 
 
+def test_dropped_elements_split_no_text():
+    words_ = lambda n, s: " ".join(words(n, s))
+    long, short = words_(300, 1), words_(9, 2)
+    body = "<h1>Title &amp; more</h1><p>First  para\n of <b>text</b>.<p>Second&nbsp;one.<br>x</p><aside>side bar</aside><p>Short.</p><div class='ad'>buy</div><ul><li>item <a href=x>link</a></li></ul>"
+    want = "Title & more\nFirst para of text.\nSecond one. x\nShort.\nitem link"
+    assert html_text.main_text(f"<body><nav>Home</nav><div>{body}</div><section id=comments>{'<p>says a lot</p>' * 40}</section><footer>x</footer>") == want
+    for cut in ("<aside>x</aside>", "<form>y<p>z</form>", "<div class=ad>x</div><nav>y</nav>"):
+        for page in (f"<div><p>{long}</p>{cut}<p>{short}</p></div>", f"<body><p>{long}</p>{cut}<p>{short}", f"<div><div>{long}</div>{cut}<div><p>{short}</div></div>"):
+            assert html_text.main_text(page) == f"{long}\n{short}", page
+        assert html_text.main_text(f"<body><div>{long}</div>{cut}<div>{short}</div>") == long  # regions of the page stay apart
+        assert html_text.main_text(f"<body><div><p>{long}</p>{cut}</div><div>{short}</div>") == long
+
+
 def test_extract_text(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x", "mine"), (1, "u", "<p>é x", "mine"), (2, None, None, "m")], "page_id long, url string, html string, text string")
     out = html_text.extract_text(df)
