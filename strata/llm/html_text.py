@@ -6,6 +6,9 @@ leaves blank lines instead, unless it stands in the middle of its parent's text.
 is summed; where the sum leaves zero the text surges, where it falls back it
 dives, and the lines between form a region.  The region with the most text is
 the article, together with every other region whose peak comes near its own.
+An element that would be dropped is read after all if it wraps the page's
+largest <article> or <main> and none stands elsewhere, or if it holds most of
+the page's text and its <h1>, or if nothing else is left.
 
 Edge cases: null, empty and text-less pages give an empty text; unclosed or
 stray tags close with their parents; a page cut off inside a tag, comment or
@@ -30,6 +33,8 @@ WINDOW = 3
 PEAK_SHARE, TEXT_SHARE = 0.5, 0.25
 # A line is a menu line if this share of its text lies in links.
 LINK_SHARE = 0.8
+# An element holds the bulk of a page if it has more than this share of its text.
+BULK_SHARE = 0.5
 
 # Fixed values of HTML: elements without an end tag, elements whose content is not markup, elements that begin a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +49,8 @@ MARKS = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "masthead footer related recommended share sharing social cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login comment comments disqus respond replies reply pagination pager toolbar widget widgets skip complementary contentinfo search dialog").split())
+# First words of compound names that say what an element lacks or has beside it, not what it is.
+UNMARKING = frozenset("has have no not non with without hide hidden show".split())
 ARTICLE = frozenset(("article", "main"))
 # Elements that text consists of; every other one that begins a line is a container of text.
 TEXT = frozenset("address blockquote caption dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol option p pre summary table tbody td tfoot th thead tr ul".split())
@@ -104,14 +111,70 @@ def marked(attributes: str) -> bool:
     """Whether class, id or role hold a word that marks an element as no article text."""
     for m in MARKING.finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
-        if any(w in MARKS for w in WORD.findall(value.lower())):
-            return True
+        for name in value.lower().split():
+            words = WORD.findall(name)
+            if not (words and words[0] in UNMARKING) and any(w in MARKS for w in words):
+                return True
     return False
 
 
+class _Element:
+    """An element that is dropped, or an article: its place and what it holds."""
+
+    def __init__(self, at: int, depth: int, outer: bool, text: int, titles: int) -> None:
+        self.at, self.end, self.depth, self.outer = at, 0, depth, outer  # outer: dropped, and inside no other dropped one
+        self.text, self.titles, self.inner = -text, -titles, 0  # inner: text of the dropped elements right inside
+
+
+class _Census:
+    """Counts the text of all dropped elements, nested ones included, and of all articles while the markup is read."""
+
+    def __init__(self) -> None:
+        self.text = self.titles = 0
+        self.open: dict[bool, list[_Element]] = {True: [], False: []}  # articles, dropped elements
+        self.articles: list[_Element] = []
+        self.dropped: list[_Element] = []
+        self.free = 0  # articles that are not dropped
+
+    def enter(self, article: bool, at: int, depth: int, outer: bool) -> None:
+        element = _Element(at, depth, outer, self.text, self.titles)
+        self.open[article].append(element)
+        (self.articles if article else self.dropped).append(element)
+
+    def leave(self, depth: int, at: int) -> None:
+        """The elements deeper than ``depth`` end."""
+        for opened in self.open.values():
+            while opened and opened[-1].depth > depth:
+                element = opened.pop()
+                element.end, element.text, element.titles = at, element.text + self.text, element.titles + self.titles
+                if opened:
+                    opened[-1].inner += element.text
+
+    def spared(self) -> frozenset[int]:
+        """Places of the dropped elements that wrap the article."""
+        outside = self.text - sum(x.text for x in self.dropped if x.outer)
+        out = set()
+        if self.articles and not self.free:
+            article = max(self.articles, key=lambda x: x.text)
+            if article.text > 0:
+                return frozenset(x.at for x in self.dropped if x.at < article.at and x.end >= article.end)
+        for x in self.dropped:  # those with the bulk of the text lie inside one another
+            if x.text > BULK_SHARE * self.text and (x.titles or not outside) and (x.outer or out):
+                out.add(x.at)
+                outside += x.text - x.inner
+        return frozenset(out)
+
+
 def lines_of(page: str) -> tuple[list[str], list[bool]]:
     """The page's lines, with blank lines for what is dropped, and whether each is a menu line.  Time is linear in the page."""
-    out = _Lines()
+    lines, linked, census = _read(page, frozenset())
+    spared = census.spared()
+    return _read(page, spared)[:2] if spared else (lines, linked)
+
+
+def _read(page: str, spared: frozenset[int]) -> tuple[list[str], list[bool], _Census]:
+    """As ``lines_of``, without dropping the elements that begin at the places ``spared``; plus what the dropped ones hold."""
+    out, census = _Lines(), _Census()
     stack: list[str] = []  # open elements
     places: list[tuple[int, int, int]] = []  # as end_line() takes them
     number = 0
@@ -122,8 +185,10 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
         open_at = page.find("<", at)
         if open_at < 0:
             open_at = end
-        if open_at > at and not dropped:
-            out.add(page[at:open_at], links > 0)
+        if open_at > at:
+            census.text += len(page[at:open_at].strip())
+            if not dropped:
+                out.add(page[at:open_at], links > 0)
         if open_at == end:
             break
         at = open_at
@@ -141,7 +206,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
                 out.add("<", links > 0)
             at += 1
             continue
-        closing, name = m[1], m[2].lower()
+        begin, closing, name = at, m[1], m[2].lower()
         rest = ATTRIBUTES.match(page, m.end()) if quotes else None
         if rest is None:
             quotes = False  # an open quote runs to the end of the page: from here on, tags end at the next bracket
@@ -168,10 +233,12 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
                         out.gap()
                     if top == name:
                         break
+                census.leave(len(stack), begin)
             continue
         if name == "body" and "head" in stack:  # the end tag of the head may be left out
             del places[stack.index("head"):]
             del stack[stack.index("head"):]
+            census.leave(len(stack), begin)
             dropped = 0
         if name == "br":
             if not dropped:
@@ -183,6 +250,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             while stack and (stack[-1] == "p" or stack[-1] in CLOSES.get(name, ())) and not (dropped and len(stack) <= dropped):
                 stack.pop()
                 places.pop()
+            census.leave(len(stack), begin)
         if name in VOID:
             continue
         if name in RAW:
@@ -200,15 +268,22 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
         stack.append(name)
         article += name in ARTICLE
         links += name == "a"
-        if not dropped:
-            if name in ARTICLE and article == 1:
+        if name in ARTICLE:
+            census.enter(True, begin, len(stack), False)
+            census.free += not dropped
+            if article == 1 and not dropped:
                 out.gap()
-            if name in DROPPED or (name == "header" and not article) or (name not in ("html", "body") and name not in ARTICLE and attributes and marked(attributes)):
-                out.end_line(article > 0, places)
-                dropped = len(stack)
+        census.titles += name == "h1"
+        if name in DROPPED or (name == "header" and not article) or (name not in ("html", "body") and name not in ARTICLE and attributes and marked(attributes)):
+            if begin not in spared:
+                census.enter(False, begin, len(stack), not dropped)
+                if not dropped:
+                    out.end_line(article > 0, places)
+                    dropped = len(stack)
+    census.leave(0, end + 1)
     if not dropped:
         out.end_line(article > 0, places)
-    return out.lines, out.linked
+    return out.lines, out.linked, census
 
 
 def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:

@@ -227,6 +227,20 @@ def test_dropped_elements_split_no_text():
         assert html_text.main_text(f"<body><div><p>{long}</p>{cut}</div><div>{short}</div>") == long
 
 
+def test_wrappers_of_the_article_are_read():
+    text, ad = " ".join(words(60, 1)), "<div class=ad>buy</div><nav><a href=/>Home</a></nav>"
+    for name in ("layout has-sidebar", "no-comments", "widget-area", "with-banner", "post share", "sidebar"):
+        for tag in ("article", "main"):
+            assert html_text.main_text(f"<body>{ad}<div class='{name}'><{tag}><p>{text}</p></{tag}>{ad}</div><footer>f</footer>") == text
+        assert html_text.main_text(f"<body>{ad}<p>Skip</p><nav>x</nav><div class='{name}'><h1>T</h1><p>{text}</p>{ad}</div>") == f"T\n{text}"
+    for page in (f"<form><main>{text}</main></form>", f"<form>{ad}<div class='post share'><article>{text}</article></div></form>", f"<body><div class=widget><p>{text}</p></div>"):
+        assert html_text.main_text(page) == text
+    more = "".join(f"<article class=comment>{' '.join(words(50, 9 + i))}</article>" for i in range(9))
+    assert html_text.main_text(f"<div class='post share'><article>{text}{text}</article><section id=comments>{more}</section></div>") == text + text
+    assert html_text.main_text(f"<article>{text}</article><section class=related>{more}</section>") == text
+    assert html_text.main_text("<div class=ad>" * 20_000 + "x") == "x"
+
+
 def test_extract_text(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x", "mine"), (1, "u", "<p>é x", "mine"), (2, None, None, "m")], "page_id long, url string, html string, text string")
     out = html_text.extract_text(df)
