@@ -25,14 +25,20 @@ ROUNDS = 8
 KEY_SETTING = "spark.strata.pii.key"
 DEFAULT_KEY = "strata-pii-development-key"
 
+# Digits as cards are written: unbroken, 4-4-4-4, 4-6-5 and 4-6-4; and what is no part of a card, though it may follow one.
+CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5})(?![0-9])"
+OTHER = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])|[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![0-9])|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}(?![0-9])"
+NUMBER = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 # Candidates, tried in this order at each place; look-behinds keep a match from starting inside a longer run.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])" + NUMBER,
     "ssn": r"(?<![0-9])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    # Up to six digits may belong to what is written like a card; any other grouping goes on until a card, a date or the like begins.
+    "card": rf"(?<![0-9])(?:{CARD}(?:[ -](?!{CARD}|{OTHER}|{NUMBER})[0-9]{{1,6}}(?![0-9A-Za-z_%+@/-]|[.][0-9]))?"
+            rf"|[0-9](?:[0-9]|[ -](?!{CARD}|{OTHER})[0-9]){{12,18}}(?![0-9]))",
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(PATTERNS.values())
@@ -101,25 +107,35 @@ def _luhn(digits: Column, doubled: int) -> Column:
 
 
 def _card(match: Column, key: Column) -> Column:
-    def body(digits: Column) -> Column:
-        n = F.length(digits) - 1
-        low = F.floor(n / 2).cast("int")
-        number = F.lpad(_permuted(_long(F.substring(digits, F.lit(1), n)), _power(n - low), _power(low), key, "card").cast("string"), n, "0")
-        full = _let(number, lambda d: F.concat(d, ((10 - _luhn(d, 1) % 10) % 10).cast("string")))
-        return F.when(_luhn(digits, 0) % 10 == 0, _let(full, lambda d: _refilled(match, d))).otherwise(match)
+    """The part that is written like a card if it passes the Luhn check, else the whole if that does."""
 
-    return _let(_digits(match), body)
+    def valid(text: Column) -> Column:
+        n = F.length(_digits(text))
+        return n.between(13, 19) & (_luhn(_digits(text), 0) % 10 == 0)
+
+    def replaced(text: Column) -> Column:
+        def body(digits: Column) -> Column:
+            n = F.length(digits) - 1
+            low = F.floor(n / 2).cast("int")
+            number = F.lpad(_permuted(_long(F.substring(digits, F.lit(1), n)), _power(n - low), _power(low), key, "card").cast("string"), n, "0")
+            return _let(number, lambda d: _refilled(text, F.concat(d, ((10 - _luhn(d, 1) % 10) % 10).cast("string"))))
+
+        return _let(_digits(text), body)
+
+    def parts(head: Column) -> Column:
+        n = F.when((head != "") & valid(head), F.length(head)).when(valid(match), F.length(match)).otherwise(0)
+        return _let(n, lambda at: F.when(at > 0, F.concat(_let(F.substring(match, F.lit(1), at), replaced), F.substring(match, at + 1, F.length(match)))).otherwise(match))
+
+    return _let(F.regexp_extract(match, f"^{CARD}", 0), parts)
 
 
 def _phone(match: Column, key: Column) -> Column:
-    """Area and exchange codes start with 2 to 9 and stay so; a country code stays."""
+    """The ten digits are permuted as one number; a country code stays."""
 
     def body(digits: Column) -> Column:
-        part = lambda at, n: _long(F.substring(digits, F.length(digits) - at, F.lit(n)))
-        value = ((part(9, 3) - 200) * 800 + part(6, 3) - 200) * 10000 + part(3, 4)
-        mixed = _permuted(value, F.lit(640000).cast("bigint"), F.lit(10000).cast("bigint"), key, "phone")
-        new = _let(mixed, lambda v: F.concat(
-            (F.floor(v / 8000000) + 200).cast("string"), (F.floor(v / 10000) % 800 + 200).cast("string"), F.lpad((v % 10000).cast("string"), 4, "0")))
+        value = _long(F.substring(digits, F.length(digits) - 9, F.lit(10)))
+        mixed = _permuted(value, F.lit(1000000).cast("bigint"), F.lit(10000).cast("bigint"), key, "phone")
+        new = _let(mixed, lambda v: F.lpad(v.cast("string"), 10, "0"))
         return _let(new, lambda d: _refilled(match, F.concat(F.when(F.length(digits) > 10, F.lit("1")).otherwise(F.lit("")), d)))
 
     return _let(_digits(match), body)
@@ -215,7 +231,7 @@ def pseudonym(match: Column, key: Column) -> Column:
 
 
 def pseudonymise(df: DataFrame, key: str, text_col: str = "text", counts: str = "replaced") -> DataFrame:
-    """``df`` with the text's personal values replaced, plus ``counts``: an array of (kind, old length) of what was replaced.
+    """``df`` with the text's personal values replaced, plus ``counts``: an array of (kind, old length) of the matches in which something was replaced.
 
     The gaps between matches come from splitting at them, so the text is put
     together again from gaps and pseudonyms in one expression per row.

@@ -90,6 +90,35 @@ def test_pseudonyms_are_a_permutation(spark):
     assert out.select("text").distinct().count() == 4000 and out.where("text < '1900-01-01' or text > '2099-12-31'").count() == 0
 
 
+def test_phones_of_any_digits_and_cards_beside_digits(spark):
+    phones = ["+1 (017) 555-7713", "(212) 155-0123", "000.123.4567"]
+    card = "4111 1111 1111 1111"
+    around = ["{}", "{} 12/27", "{} 123", "12 34 {}", "no 5 {} 1 2", "{} 123-45-6789", "{} 2001-03-04", "{} 212-555-0123", "{} 378282246310005", "378282246310005 {}", "{0} {0}"]
+    texts = phones + [a.replace("{0}", "{}").format(*[c] * a.count("{")) for c in (card, card.replace(" ", ""), "5500-0000-0000-0004", "3782 822463 10005") for a in around]
+    texts += ["4000 0000 0000 0000 006", "411 111 111 111 1111", "4111 1111 1111 1112 12", "1 " * 20_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(rows, "key").collect()}
+    new = [got[i].text for i in range(len(texts))]
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for i, phone in enumerate(phones):
+        assert re.sub("[0-9]", "9", new[i]) == re.sub("[0-9]", "9", phone) and digits(new[i])[-10:] != digits(phone)[-10:] and got[i].replaced[0].kind == "phone"
+    for k in range(4):
+        at = 3 + k * len(around)
+        old, own = texts[at], new[at]
+        assert digits(own) != digits(old)
+        for j, a in enumerate(around[:5]):
+            assert new[at + j] == a.format(own), texts[at + j]
+        for j in (5, 6, 7):
+            assert new[at + j].startswith(own + " ") and texts[at + j][len(old):] not in new[at + j] and len(got[at + j].replaced) == 2
+        for j, a in ((8, new[at + 8]), (9, new[at + 9])):
+            assert own in a and "378282246310005" not in a and len(got[at + j].replaced) == 2
+        assert new[at + 10] == f"{own} {own}"
+    n = len(texts)
+    assert new[n - 4] != texts[n - 4] and new[n - 3] != texts[n - 3] and new[n - 2] == texts[n - 2] and len(new[n - 1]) == 40_000
+    ten = spark.range(0, 4000).select(F.concat_ws("-", F.lit("017"), F.lpad(F.floor(F.col("id") / 10).cast("string"), 3, "0"), F.lpad((F.col("id") % 10).cast("string"), 4, "0")).alias("text"))
+    assert pii.pseudonymise(ten, "k").select("text").distinct().count() == 4000
+
+
 # ---------------------------------------------------------------- 3
 
 def brute_quality(text):
