@@ -12,7 +12,7 @@ from strata.llm.oracle import ORACLE_SQL
 from strata.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import spark_table, table
-from tests.llm.test_operators import brute_components, brute_contamination, brute_fingerprint, brute_lines, brute_quality
+from tests.llm.test_operators import brute_components, brute_contamination, brute_fingerprint, brute_lines, brute_quality, words
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -65,3 +65,13 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in left.collect()}
     assert spark_table(corpus_pipeline.run(spark, SF_SMALL).select("doc_id", "piece", "length", "ids_crc32")) == spark_table(packed.select("doc_id", "piece", "length", "ids_crc32"))
     clear_scratch(spark)
+
+
+def test_quality_stage_removes_boilerplate_of_a_large_host(spark):
+    own = lambda i, n=60: " ".join(words(n, i))
+    template = "\n".join(own(9000 + s, 30) for s in range(3))
+    rows = [(i, f"{template}\n{own(i, 9)}") for i in range(25)] + [(100 + i, f"{own(9000, 30)}\n{own(100 + i)}") for i in range(5)] + [(200 + i, own(200 + i)) for i in range(270)]
+    docs = spark.createDataFrame([(i, t, "site", len(t)) for i, t in rows], "doc_id long, text string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.quality(spark, docs, SF_SMALL).collect()}
+    assert set(got) == {i for i, _ in rows if i >= 100}
+    assert all(got[i].text == (own(i) if i < 200 else t) and got[i].n_chars == len(got[i].text) for i, t in rows if i >= 100)
