@@ -12,7 +12,7 @@ from strata.llm.oracle import ORACLE_SQL
 from strata.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import spark_table, table
-from tests.llm.test_operators import brute_components, brute_contamination, brute_fingerprint, brute_lines, brute_quality, words
+from tests.llm.test_llm_operators import brute_components, brute_contamination, brute_fingerprint, brute_lines, brute_quality, words
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
