@@ -15,13 +15,14 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 @pytest.fixture(scope="session")
 def spark():
+    from pyspark import SparkConf
+
     from strata.session import build_session
 
-    s = build_session("local[4]", app_name="strata-tests", shuffle_partitions=8)
+    # Tests set their own shared root only when the launch settings have none; it is a setting of the launch.
+    own = {} if SparkConf().contains("spark.checkpoint.dir") else {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-tests-")}
+    s = build_session("local[4]", app_name="strata-tests", shuffle_partitions=8, extra_conf=own)
     s.sparkContext.setLogLevel("ERROR")
-    # Tests set their own shared root only when the environment has none.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-tests-"))
     yield s
     s.stop()
 

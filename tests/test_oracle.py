@@ -5,14 +5,17 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from strata.oracle import oracle_sql
+from strata.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import spark_table, table
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(oracle_sql()) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -23,8 +26,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    cur = duck.execute(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    cur = duck.execute(oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     expected = table(ocols, cur.fetchall())
     assert sorted(df.columns) == sorted(ocols)
