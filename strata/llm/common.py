@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +102,46 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+# Plan nodes that pass a file's rows on one for one.
+_ONE_FOR_ONE = {"Project", "Filter", "SubqueryAlias"}
+
+
+def _of_files(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in _ONE_FOR_ONE:
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a row id that is the same whenever the plan runs, whatever the splits, the cores or the executors.
+
+    A row of a Parquet table is named by its file and its place in that file,
+    which no split changes; the leading bits are a hash of the file's path
+    under which the table's files are all different.  Any other frame is
+    numbered once, written, and read back with its numbers.
+    """
+    try:
+        if not _of_files(df):
+            raise LookupError("not a table")
+        meta = df.metadataColumn("_metadata")
+        paths = df.select(meta["file_path"].alias("path"), meta["row_index"].alias("at")).groupBy("path").agg(F.max("at").alias("at"))
+    except (AnalysisException, LookupError):
+        return stage(with_row_id(df, name), "numbered")
+    n, longest = paths.agg(F.count("*"), F.max("at")).first()
+    bits = max(n - 1, 0).bit_length() * 2  # half of all hash functions or so keep n paths apart
+    if (longest or 0) >> 63 - bits:
+        return stage(with_row_id(df, name), "numbered")
+    file_of = lambda path, seed: F.shiftrightunsigned(F.xxhash64(F.lit(seed), path), 64 - bits) if bits else F.lit(0).cast("bigint")
+    seed = 0
+    while bits:
+        counts = tuple(paths.agg(*[F.countDistinct(file_of(F.col("path"), k)).alias(f"k{k}") for k in range(seed, seed + 8)]).first())
+        seed += next((k for k in range(8) if counts[k] == n), 8)
+        if n in counts:
+            break
+    return df.withColumn(name, F.shiftleft(file_of(meta["file_path"], seed), 63 - bits) + meta["row_index"])
+
+
 # ---------------------------------------------------------------- Arrow batches
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import SPACED_WORD, column_bytes, fresh, joined_words, slices, stage, word_spans
+from strata.llm.common import SPACED_WORD, column_bytes, fresh, joined_words, placed, slices, stage, word_spans
 from strata.llm.components import components
 
 SHINGLE = 3
@@ -319,10 +319,10 @@ def component_table(marked: DataFrame, mark: str, first, distance: int) -> DataF
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of every component: that with the least id (of repeated rows, one).
 
-    ``df`` should be a table: its rows are numbered by their place in its files, once for the fingerprints and once for the result.
+    The rows are told apart by ``placed``: the same numbers for the fingerprints and for the result.
     """
     row, mark, first = fresh(df.columns, "row", "mark", "first")
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    numbered = placed(df, row)
     marked = stage(with_fingerprint(numbered.select(id_col, row, text_col), text_col, mark, shingle), "fingerprints")
     least = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row")))
     own = component_table(marked, mark, least, distance)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import scratch_path, stage
+from strata.llm.common import fresh, placed, scratch_path, stage
 
 MIN_REVISIT_BYTES = 100
 CHUNK_BYTES = 256 << 10
@@ -54,9 +54,10 @@ def records(df: DataFrame, id_col: str, url_col: str, payload_col: str, min_byte
     are broadcast (their measured size decides) and many are shuffled.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
-    base = df.select(F.col(id_col).cast("bigint").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
+    (record,) = fresh(df.columns, "record")
+    base = placed(df.select(id_col, url_col, payload_col), record).select(F.col(id_col).cast("bigint").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
                      F.octet_length(payload).cast("bigint").alias("n_bytes"), F.sha2(payload, 256).alias("digest"),
-                     F.monotonically_increasing_id().alias("record"))
+                     F.col(record).alias("record"))
     first = F.min(F.struct(F.col("page").isNull().alias("no_page"), "page", "record")).alias("first")
     twice = (base.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(first, F.count("*").alias("n")).where(F.col("n") > 1)
              .select("digest", F.col("first.page").alias("first_page"), F.col("first.record").alias("first_record")))

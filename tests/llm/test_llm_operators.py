@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import decontamination, html_text, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
-from strata.llm.common import stage
+from strata.llm.common import placed, stage
 from strata.llm.components import components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -436,3 +436,50 @@ def test_line_dedup(spark, most):
     twice = spark.createDataFrame([(1, "p q r s"), (1, "p q r s"), (None, "p q r s")], "doc_id long, text string")
     assert sorted((str(x.doc_id), x.n_removed) for x in line_dedup.dedup_lines(twice).collect()) == [("1", 0), ("1", 1), ("None", 1)]
     assert line_dedup.dedup_lines(twice.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- row identity
+
+@pytest.fixture()
+def splits(spark):
+    """Sets the number of splits of later scans."""
+    names = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    yield lambda n: [spark.conf.set(k, v) for k, v in zip(names, (str(n), "128m" if n < 4 else "8k", "4m" if n < 4 else "1"))]
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_rows_keep_their_numbers_when_the_splits_change(spark, splits, tmp_root):
+    """The plan is built with few splits and run with many, as after a change of executors."""
+    shared = [" ".join(words(9, s)) for s in range(12)]
+    docs = [(i, "\n".join(shared[(i + k) % 12] if k % 2 else " ".join(words(9, 500 + 7 * i + k)) for k in range(6)), "s") for i in range(160)]
+    docs += [(500 + i // 2, docs[i][1], "s") for i in range(40)]  # copies, and ids of two rows
+    spark.createDataFrame(docs, DOCS).repartition(8, "doc_id").write.parquet(f"{tmp_root}/docs")
+    table = spark.read.parquet(f"{tmp_root}/docs")
+    splits(1)
+    numbers, lines = placed(table, "row"), line_dedup.dedup_lines(table)
+    first, warc_rows = simhash.keep_first(table), warc.records(table.withColumn("url", F.lit("u")), "doc_id", "url", "text")
+    before = {(r.row, r.doc_id) for r in numbers.collect()}
+    splits(16)
+    assert table.rdd.getNumPartitions() > 4 and len(before) == 200 == len({r for r, _ in before})
+    assert {(r.row, r.doc_id) for r in numbers.collect()} == before
+    got = sorted((r.doc_id, r.text) for r in lines.collect())
+    rows = {i: t for i, t, _ in docs if i < 500}
+    want = dict(zip(sorted(rows), brute_lines([(i, rows[i]) for i in sorted(rows)])))
+    assert [x for x in got if x[0] < 500] == sorted(want.items()) and all(t == "" or not t.strip() for i, t in got if i >= 500)
+    kept = sorted(r.doc_id for r in first.collect())
+    marks = {i: brute_fingerprint(t) for i, t in rows.items()}
+    root, least = brute_components(set(marks.values()), lambda a, b: bin(a ^ b).count("1") <= 3), {}
+    for i in sorted(marks):
+        least.setdefault(root[marks[i]], i)
+    assert kept == sorted(least.values())
+    again = warc_rows.collect()
+    assert sum(r.refers_record is not None for r in again) == 40 and {r.refers_record for r in again} - {None} <= {r.record for r in again}
+    assert all(r.refers_page == r.page or r.page >= 500 for r in again if r.refers_record is not None)
+
+
+def test_rows_of_other_frames_are_numbered_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "row long, t string")
+    out = placed(rows.union(rows), "n")
+    assert sorted(r.n for r in out.collect()) == sorted(r.n for r in out.collect()) and out.select("n").distinct().count() == 6
+    assert placed(rows.limit(0), "n").count() == 0
