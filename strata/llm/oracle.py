@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from strata.llm.license_scan import TEMPLATES
+
 # Words of the decontamination contract, over text with A-Z lower-cased.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -114,7 +116,37 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM doc LEFT JOIN total USING (r)
 """
 
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', {str(t.base).lower()}, {_list(t.words)}, {t.key_at}, {_list(t.words[t.key_at:t.key_at + t.key_size])})" for i, t in enumerate(TEMPLATES))
+
+OP11 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+template(id, label, base, words, key_at, key) AS (VALUES {_TEMPLATES}),
+word AS (SELECT r, w, i, w[i] AS x FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+place AS (
+  SELECT r, w, label, base, words, key_at, i - 1 AS start FROM word JOIN template ON x = key[1]
+  WHERE w[i:i + len(key) - 1] = key),
+scored AS (
+  SELECT r, label, base, start,
+         len(list_filter(range(1, len(words) + 1), lambda k: start - key_at + k >= 1 AND w[greatest(start - key_at + k, 1)] = words[k])) / len(words) AS score
+  FROM place),
+total AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM scored GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM doc LEFT JOIN total USING (r)
+"""
+
 ORACLE_SQL = {
+    "op11_license_scan": OP11,
     "op5_warc_round_trip": OP5,
     "op8_secret_scan": OP8,
     "op3_quality_rules": OP3,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, html_text, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
+from strata.llm import decontamination, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
 
 MAX_TOKENS = 1024
 
@@ -76,6 +76,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_pseudonyms,
@@ -87,4 +91,5 @@ QUERIES = {f.__name__: f for f in (
     op8_secret_scan,
     op9_simhash_near_dedup,
     op10_line_dedup,
+    op11_license_scan,
 )}

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, html_text, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
+from strata.llm import decontamination, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
 from strata.llm.common import placed, stage
 from strata.llm.components import components
 
@@ -483,3 +483,40 @@ def test_rows_of_other_frames_are_numbered_once(spark):
     out = placed(rows.union(rows), "n")
     assert sorted(r.n for r in out.collect()) == sorted(r.n for r in out.collect()) and out.select("n").distinct().count() == 6
     assert placed(rows.limit(0), "n").count() == 0
+
+
+# ---------------------------------------------------------------- 11
+
+def brute_licenses(text, templates):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    found = []
+    for t in templates:
+        key = list(t.words[t.key_at:t.key_at + t.key_size])
+        for i in range(len(w) - len(key) + 1):
+            if w[i:i + len(key)] == key:
+                same = sum(0 <= i - t.key_at + k < len(w) and w[i - t.key_at + k] == x for k, x in enumerate(t.words))
+                found.append((t.label, t.base, i, same / len(t.words)))
+    own = [f for f in found if f[1]]
+    labels = lambda fs: ",".join(sorted({f[0] for f in fs}))
+    return (len(w), len(own), min((f[2] for f in own), default=None), max((f[2] for f in own), default=None), labels(own), labels(found), max((f[3] for f in found), default=0.0))
+
+
+def test_license_scan(spark):
+    lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.",
+             "This work is licensed under the GNU General Public License, version 3."]
+    texts = [None, "", "...", *lines, "\n".join(lines * 3), "under the MIT licence", "mit license the under", "Under\tTHE-mit_LICENSE under the mit license", "cc by nc" * 3, "cc by nc " * 400,
+             "license " * 3000 + "under the mit license", "É under the ÉMIT license", "the worK is licensed", "under the mit Kicense", "x " * 5000 + lines[1], "GNU Lesser General Public License gnu general public license version 2",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy of something", lines[0]]
+    rows = [(i % 17, t, 7) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Labels int").repartition(3)
+    again = license_scan._template("twice", "la la land la la", "la land la la")
+    for templates in (license_scan.TEMPLATES, (*license_scan.TEMPLATES, again)):
+        for n_rare in (1, 2, 9):
+            out = license_scan.scan_licenses(df, templates=templates, n_rare=n_rare)
+            assert out.columns == ["doc_id", "Labels", "n_words", "n_base", "first_word", "last_word", "base_labels", "_labels", "score"]
+            assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((i, 7, *brute_licenses(t, templates))) for i, t, _ in rows)
+    assert license_scan.scan_licenses(df.limit(0)).count() == 0
+    land = spark.createDataFrame([(1, "La la land la la la land la la")], "doc_id long, text string")
+    assert [tuple(r)[1:] for r in license_scan.scan_licenses(land, templates=(again,)).collect()] == [brute_licenses("La la land la la la land la la", (again,))]
+    spread = spark.createDataFrame([(i, lines[0]) for i in range(3000)], "doc_id long, text string")
+    assert {tuple(r)[1:] for r in license_scan.scan_licenses(spread).collect()} == {brute_licenses(lines[0], license_scan.TEMPLATES)}
