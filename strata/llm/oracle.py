@@ -128,9 +128,9 @@ _TEMPLATES = ", ".join(
 OP11 = f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
 template(id, label, base, words, key_at, key) AS (VALUES {_TEMPLATES}),
-word AS (SELECT r, w, i, w[i] AS x FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM doc),
 place AS (
-  SELECT r, w, label, base, words, key_at, i - 1 AS start FROM word JOIN template ON x = key[1]
+  SELECT r, w, label, base, words, key_at, i - 1 AS start FROM word JOIN template ON x = key[1] JOIN doc USING (r)
   WHERE w[i:i + len(key) - 1] = key),
 scored AS (
   SELECT r, label, base, start,
