@@ -145,7 +145,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM doc LEFT JOIN total USING (r)
 """
 
+OP12 = """
+WITH vec AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_dot_product(a.c, b.c) AS BIGINT) AS score
+  FROM vec a, vec b WHERE a.vec_id % 50 = 0 AND a.r <> b.r),
+positive AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k
+  FROM scored WHERE own = label QUALIFY k <= 5),
+negative AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY r, k ORDER BY score DESC, vec_id) AS rank
+  FROM positive JOIN (SELECT r, own, label, vec_id, score FROM scored) USING (r)
+  WHERE own <> label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negative
+"""
+
 ORACLE_SQL = {
+    "op12_hard_negatives": OP12,
     "op11_license_scan": OP11,
     "op5_warc_round_trip": OP5,
     "op8_secret_scan": OP8,

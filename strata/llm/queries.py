@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
+from strata.llm import decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
 
 MAX_TOKENS = 1024
 
@@ -80,6 +80,10 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_pseudonyms,
@@ -92,4 +96,5 @@ QUERIES = {f.__name__: f for f in (
     op9_simhash_near_dedup,
     op10_line_dedup,
     op11_license_scan,
+    op12_hard_negatives,
 )}

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
+from strata.llm import decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
 from strata.llm.common import placed, stage
 from strata.llm.components import components
 
@@ -520,3 +520,55 @@ def test_license_scan(spark):
     assert [tuple(r)[1:] for r in license_scan.scan_licenses(land, templates=(again,)).collect()] == [brute_licenses("La la land la la la land la la", (again,))]
     spread = spark.createDataFrame([(i, lines[0]) for i in range(3000)], "doc_id long, text string")
     assert {tuple(r)[1:] for r in license_scan.scan_licenses(spread).collect()} == {brute_licenses(lines[0], license_scan.TEMPLATES)}
+
+
+# ---------------------------------------------------------------- 12
+
+def brute_negatives(rows, every=50):
+    fine = [(i, (label + 1) % 10 if i % 7 == 0 else label, [int(np.floor(256 * float(x))) for x in v]) for i, v, label in rows
+            if i is not None and label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for n, (i, label, v) in enumerate(fine):
+        if i % every:
+            continue
+        others = sorted((-dot(v, w), j, other == label) for m, (j, other, w) in enumerate(fine) if m != n)
+        for score, j, _ in [x for x in others if x[2]][:5]:
+            hits = [(s, k) for s, k, same in others if not same and 50 * -score <= 100 * -s <= 95 * -score][:3]
+            out += [(i, j, rank, k, -score, -s) for rank, (s, k) in enumerate(hits, 1)]
+    return sorted(out)
+
+
+def test_hard_negatives(spark):
+    r = np.random.default_rng(3)
+    kind = "vec_id long, embedding array<float>, label int, anchor_id string"
+    spread = [(i, [float(np.float32(x)) for x in r.normal(size=6)], int(r.integers(3)), "x") for i in range(700)]
+    tied = [(i, [1.0, float(i % 2), 0.5], i % 4, "x") for i in range(400)] + [(i, [1.0, 0.0, 0.5], 1, "x") for i in range(0, 400, 50)]  # a third of all rows and more are one vector
+    odd = [(None, [1.0], 1, None), (50, None, 1, None), (100, [1.0, None], 1, None), (150, [float("nan")], 1, None), (200, [float("inf"), 1.0], 1, None), (250, [1.0, 1.0], None, None),
+           (300, [], 1, None), (350, [1.0], 1, None), (350, [1.0], 1, None), (400, [0.5, 9.0], 2, None), (-50, [0.7], 2, None), (7, [-1e6, 3.0], 9, None), (450, [2e6, 1.0, 1.0], 0, None), (451, [3.0], 0, None)]
+    for rows, tile in ((spread, 100), (tied, 64), (spread + tied, 4096), (odd, 2), (odd[6:7], 9)):
+        df = spark.createDataFrame(rows, kind).repartition(5)
+        for block in (4096, 3):
+            if block == 3 and rows is not tied:
+                continue
+            out = hard_negatives.mine_negatives(df, tile_rows=tile, block_rows=block, share=4)
+            assert sorted(map(tuple, out.collect())) == brute_negatives([x[:3] for x in rows])
+    assert hard_negatives.mine_negatives(df.limit(0)).count() == 0
+    with pytest.raises(Exception, match="63 bits"):
+        hard_negatives.mine_negatives(spark.createDataFrame([(0, [3e15], 1), (1, [3e15], 2)], "vec_id long, embedding array<double>, label int")).count()
+
+
+def test_boxes_hold_their_pages(spark):
+    r = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [float(x) for x in r.normal(size=5)], 1) for i in range(900)], "vec_id long, embedding array<double>, label int")
+    vectors = hard_negatives.valid_vectors(df)
+    pages, size = hard_negatives.build_index(vectors, 200)
+    table = pages.toArrow().combine_chunks()
+    seen, a = [], r.integers(-300, 300, (20, 5))
+    for batch in table.to_batches():
+        for page, low, high in hard_negatives._pages(batch, size):
+            seen += page.ids.tolist()
+            down, up = hard_negatives._interval(a, low[None], high[None])
+            scores = a @ page.vectors.T
+            assert (scores >= down).all() and (scores <= up).all() and len(page.ids) <= hard_negatives.PAGE_ROWS
+    assert sorted(seen) == list(range(900)) and table.num_rows > 14
