@@ -334,6 +334,11 @@ def mine_negatives(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return spark.read.schema(result).parquet(f"{folder}/result")
 
 
+def _percent(score: np.ndarray, per: int) -> np.ndarray:
+    """``per * score / 100`` rounded down, without a product of more bits than the score has."""
+    return score // 100 * per + score % 100 * per // 100
+
+
 def _block(spark, pages: DataFrame, size: int, rows: pa.Table, share: int) -> DataFrame:
     """The hard negatives of one block of anchors."""
     n = rows.num_rows
@@ -343,7 +348,7 @@ def _block(spark, pages: DataFrame, size: int, rows: pa.Table, share: int) -> Da
     search = Search(vectors, places, labels, wide(n, NONE + 1), wide(n, -NONE), wide(n, NONE), True, N_POSITIVES)
     positives = _best(pages, size, search, share).select("query", "score", "id").toArrow()
     of, score, positive = (positives.column(i).to_numpy() for i in range(3))
-    least, most = -(-LEAST_PERCENT * score // 100), MOST_PERCENT * score // 100
+    least, most = -_percent(-score, LEAST_PERCENT), _percent(score, MOST_PERCENT)
     search = Search(vectors[of], places[of], labels[of], least, most, wide(len(of), NONE), False, N_NEGATIVES)
     table = pa.table({"query": pa.array(np.arange(len(of))), "anchor_id": pa.array(ids[of]), "positive_id": pa.array(positive), "positive_score": pa.array(score)})
     names = spark.createDataFrame(table.to_pandas(), "query bigint, anchor_id bigint, positive_id bigint, positive_score bigint")
