@@ -164,7 +164,44 @@ negative AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negative
 """
 
+_TURN = "md5(strlen(role) || ':' || role || text)"
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n))"
+_CRC_STEP = "xor(c >> 8, crc.entries[(xor(c, ord(x)) & 255) + 1])"
+
+OP13 = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS entries),
+turns AS (
+  SELECT conv_id, strlen(text) AS bytes, {_TURN} AS turn_key, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_TURN}) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+conv AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, len,
+         xor(list_reduce(string_split(CAST(conv_id AS VARCHAR), ''), lambda c, x: {_CRC_STEP}, 4294967295), 4294967295) % 9 AS h
+  FROM (SELECT conv_id, count(*) AS len FROM turns GROUP BY conv_id), crc),
+plan AS (SELECT c.conv_id, c.base, c.h, coalesce(least(c.h, b.len), 0) AS kept FROM conv c LEFT JOIN conv b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT p.conv_id, i AS d, bytes, turn_key FROM plan p JOIN turns t ON t.conv_id = p.base AND i <= p.h UNION ALL
+  SELECT p.conv_id, i - p.h + p.kept, bytes, turn_key FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND i > p.h),
+path AS (
+  SELECT conv_id, d, bytes, md5(string_agg(turn_key, '') OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM rebuilt UNION ALL
+  SELECT conv_id, 0, 0, '' FROM conv),
+node AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n, any_value(bytes) AS bytes FROM path GROUP BY d, key),
+up AS (SELECT p.d, p.key, node.d AS below, node.conv_id, (n - 1) * node.bytes AS saved FROM node JOIN path p ON p.conv_id = node.conv_id AND p.d <= node.d),
+child AS (SELECT d, key, count(*) FILTER (below = d + 1) AS n_children, sum(saved) AS saved FROM up GROUP BY d, key),
+leaf AS (SELECT conv_id, d AS below FROM node JOIN child USING (d, key) WHERE n_children = 0),
+leaves AS (SELECT up.d, key, count(*) AS n_leaves FROM up JOIN leaf USING (conv_id, below) GROUP BY up.d, key),
+ends AS (
+  SELECT d, key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id) JOIN path USING (conv_id, d) GROUP BY d, key)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs, n_children, n_leaves, CAST(child.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN child ON child.d = node.d AND child.key = node.key JOIN leaves ON leaves.d = node.d AND leaves.key = node.key
+LEFT JOIN ends ON ends.d = node.d AND ends.key = node.key
+LEFT JOIN path own ON own.conv_id = node.conv_id AND own.d = node.d - 1
+LEFT JOIN node parent ON parent.d = own.d AND parent.key = own.key
+"""
+
 ORACLE_SQL = {
+    "op13_conversation_trie": OP13,
     "op12_hard_negatives": OP12,
     "op11_license_scan": OP11,
     "op5_warc_round_trip": OP5,

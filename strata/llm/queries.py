@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
+from strata.llm import conversation_trie, decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, warc
 
 MAX_TOKENS = 1024
 
@@ -84,6 +84,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_pseudonyms,
@@ -97,4 +101,5 @@ QUERIES = {f.__name__: f for f in (
     op10_line_dedup,
     op11_license_scan,
     op12_hard_negatives,
+    op13_conversation_trie,
 )}

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, token_counts, tokens, warc
+from strata.llm import conversation_trie, decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, spilling_queue, token_counts, tokens, warc
 from strata.llm.common import placed, stage
 from strata.llm.components import components
 
@@ -572,3 +572,68 @@ def test_boxes_hold_their_pages(spark):
             scores = a @ page.vectors.T
             assert (scores >= down).all() and (scores <= up).all() and len(page.ids) <= hard_negatives.PAGE_ROWS
     assert sorted(seen) == list(range(900)) and table.num_rows > 14
+
+
+# ---------------------------------------------------------------- 13
+
+def brute_trie(rows):
+    """Nodes of the trie of the rebuilt conversations, from rows (conv, turn, role, text)."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            r, t = role or "", text or ""
+            own.setdefault(conv, []).append((turn is not None, turn or 0, hashlib.md5(f"{len(r.encode())}:{r}{t}".encode()).digest(), r, t))
+    turns = {c: [x[3:] for x in sorted(xs)] for c, xs in own.items()}
+    built = {}
+    for c in turns:
+        h, base = zlib.crc32(str(c).encode()) % 9, c - int(np.fmod(c, 5))
+        built[c] = turns.get(base, [])[:h] + turns[c][h:]
+    members = {}
+    for c, xs in built.items():
+        for d in range(len(xs) + 1):
+            members.setdefault(tuple(xs[:d]), []).append(c)
+    out = {}
+    for key in sorted(members, key=len, reverse=True):
+        n, kids = len(members[key]), [k for k in members if len(k) == len(key) + 1 and k[:-1] == key] if len(members) < 3000 else None
+        out[key] = [0, 0, (n - 1) * len(key[-1][1].encode()) if key else 0] if kids is None else [len(kids), sum(out[k][1] for k in kids) + (not kids), sum(out[k][2] for k in kids) + ((n - 1) * len(key[-1][1].encode()) if key else 0)]
+    return sorted((min(cs), len(key), min(members[key[:-1]]) if key else None, len(cs), *out[key], hashlib.sha256(",".join(str(c) for c in sorted(cs) if len(built[c]) == len(key)).encode()).hexdigest())
+                  for key, cs in members.items())
+
+
+def trie_rows(seed: int, n: int = 300):
+    r = random.Random(seed)
+    rows = [(r.choice([None, *range(-7, 60)]), r.choice([None, 0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9]), r.choice(["user", "bot", None]), r.choice(["a", "é", None, "", "long " * 9])) for _ in range(n)]
+    return rows + rows[:20] + [(900, i, "user", f"turn {i}") for i in range(150)] + [(901, i, "user", f"turn {i}") for i in range(120)] + [(c, i, "user", "same") for c in range(1000, 1060) for i in range(9)]
+
+
+@pytest.mark.parametrize(("shard_rows", "most_held", "blob_ids"), [(1 << 12, 1 << 20, 1 << 13), (1, 1, 2), (13, 4, 3)])
+def test_conversation_trie(spark, shard_rows, most_held, blob_ids):
+    rows = trie_rows(shard_rows)
+    df = spark.createDataFrame([(*x, "z") for x in rows], "conv_id long, turn long, role string, text string, depth string").repartition(7)
+    out = conversation_trie.conversation_trie(df, shard_rows=shard_rows, most_held=most_held, blob_ids=blob_ids)
+    assert out.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(brute_trie(rows), key=str)
+
+
+def test_conversation_trie_of_few_rows(spark):
+    kind = "conv_id long, turn long, role string, text string"
+    for rows in ([], [(None, 1, "a", "b")], [(3, None, None, None)], [(11, 0, "a", "b")] * 3):
+        df = spark.createDataFrame(rows, kind)
+        assert sorted(map(tuple, conversation_trie.conversation_trie(df).collect()), key=str) == sorted(brute_trie(rows), key=str)
+
+
+def test_spilling_queue():
+    r = np.random.default_rng(5)
+    for most in (1, 10, 1 << 20):
+        queue, sent = spilling_queue.SpillingQueue(most), {}
+        for _ in range(30):
+            level, node, values = r.integers(0, 4, 25), r.integers(-9, 9, 25), r.integers(0, 99, (25, 3))
+            queue.push(level, node, values)
+            for lv, nd, v in zip(level.tolist(), node.tolist(), values):
+                sent[lv, nd] = sent.get((lv, nd), 0) + v
+        for lv in (3, 2, 1, 0):
+            for first, upto in ((-99, -3), (-3, -3), (-3, 2), (2, 99)):
+                got = queue.pop(lv, upto)
+                want = {nd: v.tolist() for (l2, nd), v in sent.items() if l2 == lv and first < nd <= upto}
+                assert {int(x[0]): x[1:].tolist() for x in got} == want and (np.diff(got[:, 0]) > 0).all()
+        assert len(queue) == 0
