@@ -18,6 +18,7 @@ import logging
 import os
 import sys
 
+from strata.operators.suite import load_suite
 from strata.plans.pipeline import RunContext, Runner, run_pipeline
 from strata.plans.snapshots import SnapshotStore
 from strata.session import build_session
@@ -42,7 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-ts", help="run stamp (default: now, UTC)")
     ap.add_argument("--dry-run", action="store_true", help="build every table without writing")
     ap.add_argument("--from-snapshots", action="store_true", help="read upstream tables from stored snapshots")
-    ap.add_argument("--validate", action="store_true", help="check keys and column rules before each write; a failure blocks the write")
+    ap.add_argument("--validate", action="store_true", help="check each written table (keys, column rules) before it is published; a failure leaves the earlier snapshot")
+    ap.add_argument("--suite", help="JSON file of more checks by table (strata.operators.suite); implies --validate")
+    ap.add_argument("--resume", action="store_true", help="go on with the run of --run-ts: tables it has published are read, not built")
+    ap.add_argument("--part-match", choices=("part", "part_supplier"), default="part", help="join the fact to offers by part, or at its own grain")
     ap.add_argument("--mart-input", choices=("auto", "wide", "silver"), default="auto",
                     help="marts read the wide table or the silver tables with fan-out weights "
                          "(auto: wide when tables are written, silver in a dry run)")
@@ -53,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     if not args.root and not args.dry_run:
         ap.error("--root (or STRATA_ROOT) is required unless --dry-run")
+    if args.resume and (args.dry_run or not args.run_ts):
+        ap.error("--resume needs --run-ts, and a run that writes")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = build_session(args.master, cluster=args.cluster_profile)
@@ -63,7 +69,10 @@ def main(argv: list[str] | None = None) -> int:
         as_of=args.as_of,
         run_upstream=not args.from_snapshots,
         load_data=not args.dry_run,
-        validate=args.validate,
+        validate=args.validate or bool(args.suite),
+        suite=load_suite(args.suite) if args.suite else {},
+        resume=args.resume,
+        part_match=args.part_match,
         mart_input=args.mart_input,
     )
     if args.run_ts:

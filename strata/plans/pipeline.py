@@ -6,10 +6,16 @@
 read that snapshot back, which cuts the lineage at every layer: a lost
 executor recomputes at most one layer.  Without ``load_data`` (dry run) the
 DataFrames are handed over in memory and nothing is written.
+
+A stored table is written aside, checked on its written files if checks are
+asked for, and only then published.  The ledger of a stamp names the run and
+its settings; a run that is started again with ``resume`` takes the tables
+that this run has published already and builds the others.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
@@ -18,12 +24,12 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import dashboards as D
-from strata.operators.quality import key_report, rule_report, validate
-from strata.plans.snapshots import SnapshotNotFound, SnapshotStore
+from strata.operators.quality import InvalidDataError, key_report, rule_report
+from strata.operators.suite import Check, spec_checks, suite_report, violations
+from strata.plans.snapshots import SnapshotNotFound, SnapshotStore, escaped
 from strata.plans.tables import TableSpec, table_specs
 from strata.schemas import STAMP
 
@@ -45,6 +51,10 @@ class RunContext:
     run_upstream: bool = True
     load_data: bool = True
     validate: bool = False
+    # Checks by table, from a suite file; they run with ``validate``, besides those of the tables' own declarations.
+    suite: Mapping[str, tuple[Check, ...]] = field(default_factory=dict)
+    # Go on with the run of this stamp: its published tables are read, not built.
+    resume: bool = False
     part_match: str = "part"
     mart_input: str = "auto"
     cache_shared: bool = False
@@ -69,6 +79,8 @@ class Runner:
         self.specs = specs or table_specs(ctx.resolved_mart_input)
         self.built: dict[str, DataFrame] = {}
         self.rows_written: dict[str, int] = {}
+        self.resumed: list[str] = []
+        self.run_id = self._ledger() if ctx.load_data else ""
         self._stamp: str | None = ctx.upstream_stamp
         self._targets: tuple[str, ...] = ()
         self._consumers = {n: 0 for n in self.specs}
@@ -76,6 +88,43 @@ class Runner:
             for u in s.upstream:
                 self._consumers[u] += 1
 
+    def _ledger(self) -> str:
+        """The run that this stamp's ledger names: a new one, or with ``resume`` the one found there, which must have the same settings."""
+        ctx, files = self.ctx, self.ctx.store.files
+        path = f"{ctx.store.root}/_runs/{escaped(ctx.run_ts)}.json"
+        settings = {"as_of": ctx.as_of, "mart_input": ctx.resolved_mart_input, "part_match": ctx.part_match, "upstream_stamp": ctx.upstream_stamp, "run_upstream": ctx.run_upstream}
+        if files.exists(path):
+            if ctx.resume:
+                found = json.loads(files.read_text(path))
+                if found["settings"] != settings:
+                    raise ValueError(f"the run of {ctx.run_ts} was started with {found['settings']}, not {settings}")
+                return found["run"]
+            files.delete(path)
+        run = uuid.uuid4().hex
+        files.write_new(path, json.dumps({"run": run, "settings": settings}))
+        return run
+
+    def _published(self, name: str) -> DataFrame | None:
+        """The table as this run has published it, if the run goes on."""
+        spec, store = self.specs[name], self.ctx.store
+        if not (self.ctx.resume and self.ctx.load_data) or self.ctx.run_ts not in store.stamps(spec.layer, spec.name):
+            return None
+        record = store.record(spec.layer, spec.name, self.ctx.run_ts)
+        return store.staged(record) if record.run == self.run_id else None
+
+    def _parent(self, name: str) -> DataFrame:
+        """The table that a foreign key refers to: of this run, or its latest snapshot."""
+        return self.built[name] if name in self.built else self.read(name)
+
+    def check(self, name: str, df: DataFrame) -> None:
+        """Raise ``InvalidDataError`` if the table fails its declaration (keys, rules) or the suite's checks."""
+        spec = self.specs[name]
+        own = {c.name: c for c in spec_checks(spec.keys, spec.unique, spec.rules)}
+        own |= {c.name: c for c in self.ctx.suite.get(name, ())}
+        found = violations(suite_report(name, df, list(own.values()), self._parent))
+        if found:
+            raise InvalidDataError(f"{name}: " + "; ".join(found))
+
     def read(self, name: str, partition_values: Mapping[str, str] | None = None) -> DataFrame:
         """In-memory handoff if this run built it, else a stored snapshot.
 
@@ -90,8 +139,8 @@ class Runner:
         if partition_values is None and not self.ctx.run_upstream:
             partition_values = {STAMP: self.common_stamp()}
         if partition_values:
-            return self.ctx.store.read_partition(spec.layer, spec.name, partition_values, data_format=spec.data_format)
-        return self.ctx.store.read_latest(spec.layer, spec.name, data_format=spec.data_format)
+            return self.ctx.store.read_partition(spec.layer, spec.name, partition_values)
+        return self.ctx.store.read_latest(spec.layer, spec.name)
 
     def common_stamp(self) -> str:
         """The latest stamp that all upstream tables of this run have: a half-finished run is not mixed in."""
@@ -116,39 +165,48 @@ class Runner:
         spec = self.specs[name]
         if not _path and name not in self._targets:
             self._targets = (*self._targets, name)
+        if (out := self._published(name)) is not None:
+            self.resumed.append(name)
+            self.built[name] = out
+            return out
         inputs = {}
         for up in spec.upstream:
             inputs[up] = self.run(up, (*_path, name)) if self.ctx.run_upstream else self.read(up)
         log.info("building %s.%s", spec.layer, spec.name)
         df = spec.build(self.ctx, inputs)
-        if self.ctx.validate:
-            # Validate before loading, as specified: a failed table is never
-            # written.  Duplicate-key detection needs its own aggregation, so
-            # this is one extra pass over the table.
-            validate(spec.name, df, spec.keys if spec.unique else (), spec.rules)
         if self.ctx.load_data:
-            t0 = time.perf_counter()
-            sc = self.ctx.spark.sparkContext
-            sc.setJobDescription(f"write {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
-            # Rows written, counted by the write job itself (observed metric: no extra pass).
-            rows = Observation(f"rows_{spec.layer}_{spec.name}_{uuid.uuid4().hex[:8]}")
-            try:
-                counted = df.drop(STAMP).observe(rows, F.count(F.lit(1)).alias("rows"))
-                self.ctx.store.write_stamp(counted, spec.layer, spec.name, self.ctx.run_ts, spec.data_format)
-            finally:
-                sc.setJobDescription(None)
-            self.rows_written[spec.name] = rows.get["rows"]
-            log.info("wrote %s.%s: %d rows in %.2fs", spec.layer, spec.name, self.rows_written[spec.name],
-                     time.perf_counter() - t0)
-            out = self.ctx.store.read_partition(spec.layer, spec.name, {STAMP: self.ctx.run_ts},
-                                                schema=df.schema, data_format=spec.data_format)
+            out = self._store(spec, df)
         else:
             out = df
+            if self.ctx.validate:
+                self.check(name, df)
             if self.ctx.cache_shared and self._consumers.get(name, 0) > 1:
                 out = out.persist(StorageLevel.MEMORY_AND_DISK)
         self.built[name] = out
         return out
 
+    def _store(self, spec: TableSpec, df: DataFrame) -> DataFrame:
+        """Write, check, publish.  The checks read the written files, so the table is built once; a table that fails is deleted unseen."""
+        t0 = time.perf_counter()
+        store, sc = self.ctx.store, self.ctx.spark.sparkContext
+        sc.setJobDescription(f"write {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
+        try:
+            record = store.stage(df, spec.layer, spec.name, self.ctx.run_ts, spec.data_format, run=self.run_id)
+            out = store.staged(record)
+            if self.ctx.validate:
+                sc.setJobDescription(f"check {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
+                try:
+                    self.check(spec.name, out)
+                except InvalidDataError:
+                    store.discard(record)
+                    raise
+            store.publish(record)
+        finally:
+            sc.setJobDescription(None)
+        self.rows_written[spec.name] = record.rows
+        log.info("wrote %s.%s: %d rows in %.2fs", spec.layer, spec.name, record.rows, time.perf_counter() - t0)
+        return out
+
     def run_all(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         names = list(names or self.specs)
         self.aim(*names)

@@ -8,8 +8,11 @@ directory of the session's shared checkpoint root first.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +20,11 @@ from strata.operators import bronze as B
 from strata.operators import dashboards as D
 from strata.operators import gold as G
 from strata.operators import silver as S
+from strata.operators.references import Reference, orphan_counts
+from strata.operators.suite import load_suite, suite_report
 from strata.plans.pipeline import RunContext, Runner, run_pipeline
 from strata.plans.snapshots import SnapshotStore
-from strata.schemas import SOURCE_TABLES, STAMP
+from strata.schemas import SOURCE_REFERENCES, SOURCE_TABLES, STAMP
 from strata.session import scratch_dir
 from strata.sources import FixtureSource, read_tbl, write_tbl
 
@@ -29,6 +34,9 @@ RUN_TS = "2023-01-01T12:00:00.000000"
 RUN_TS_NEXT = "2023-01-02T12:00:00.000000"
 AS_OF = "2002-01-01"
 
+# The checks of the stored dimensions and fact that ``suite_violations`` reports.
+ORDER_SUITE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "suites", "orders.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -201,14 +209,62 @@ def q_pipeline_stored(spark, sf_dir):
 
 
 def q_snapshot_rerun(spark, sf_dir):
-    """A stamp written, run again with fewer rows (orders of odd keys), and read back."""
+    """A stamp written, run again with the lines of finished orders alone, and read back."""
     store = SnapshotStore(spark, scratch_dir(spark, "rerun"))
     df = _fct_orders(_src(spark, sf_dir))
-    for rows in (df, df.where("order_key % 2 = 1")):
+    for rows in (df, df.where("order_status = 'F'")):
         store.write_stamp(rows, "silver", "fct_orders", RUN_TS)
     return store.read_latest("silver", "fct_orders")
 
 
+def q_snapshot_failed_writes(spark, sf_dir):
+    """A snapshot, then a rerun of its stamp and a later stamp that both break inside the write; the first one is read back.
+
+    A row at the end of the fact's value range raises an error, so some tasks
+    have written their files when the job fails.
+    """
+    store = SnapshotStore(spark, scratch_dir(spark, "failed-writes"))
+    good = _fct_orders(_src(spark, sf_dir))
+    store.write_stamp(good, "silver", "fct_orders", RUN_TS)
+    broken = good.withColumn("line_status", F.when(F.col("order_status") == "P", F.raise_error(F.lit("broken row"))).otherwise(F.col("line_status")))
+    for stamp in (RUN_TS, RUN_TS_NEXT):
+        try:
+            store.write_stamp(broken, "silver", "fct_orders", stamp)
+        except PySparkException as e:
+            if "broken row" not in str(e):
+                raise
+        else:
+            raise AssertionError("the broken write went through")
+    store.stage(good, "silver", "fct_orders", RUN_TS_NEXT)  # written in full, never published
+    return store.read_latest("silver", "fct_orders")
+
+
+def q_suite_violations(spark, sf_dir):
+    """The order suite's checks over the stored dimensions and fact: rows checked, failed and allowed of each."""
+    store, (fct, customers, parts) = SnapshotStore(spark, scratch_dir(spark, "suite")), _silver(spark, sf_dir)
+    tables = {name: store.staged(store.stage(df, "silver", name, RUN_TS)) for name, df in (("dim_customer", customers), ("dim_part", parts), ("fct_orders", fct))}
+    reports = [suite_report(name, tables[name], checks, tables.__getitem__) for name, checks in load_suite(ORDER_SUITE).items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def q_orphan_keys(spark, sf_dir):
+    """Rows of the source tables that refer to no parent, for every declared foreign key."""
+    src = _src(spark, sf_dir)
+    reports = []
+    for table, declared in SOURCE_REFERENCES.items():
+        references = [Reference(*r) for r in declared]
+        reports.append(orphan_counts(table, src.table(table), references, [src.table(r.parent) for r in references]))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def q_pipeline_resumed(spark, sf_dir):
+    """A stored run that stops after the wide table, then resumed; the finance export of the resumed run is read back."""
+    root = scratch_dir(spark, "resumed")
+    Runner(_stored(spark, sf_dir, root)).run("wide_order_details")
+    run_pipeline(_stored(spark, sf_dir, root, resume=True), finance_export=root + "/finance")
+    return spark.read.parquet(root + "/finance")
+
+
 def q_latest_wider_snapshot(spark, sf_dir):
     """A second snapshot with one more column (the supplier key); the latest has it."""
     store = SnapshotStore(spark, scratch_dir(spark, "wider"))
@@ -280,6 +336,10 @@ QUERIES: dict[str, Query] = {
     "pipeline_marketing": q_pipeline_marketing,
     "pipeline_stored": q_pipeline_stored,
     "snapshot_rerun": q_snapshot_rerun,
+    "snapshot_failed_writes": q_snapshot_failed_writes,
+    "suite_violations": q_suite_violations,
+    "orphan_keys": q_orphan_keys,
+    "pipeline_resumed": q_pipeline_resumed,
     "latest_wider_snapshot": q_latest_wider_snapshot,
     "pipeline_from_snapshots": q_pipeline_from_snapshots,
     "marketing_export": q_marketing_export,

@@ -77,3 +77,18 @@ SOURCE_TABLES: tuple[str, ...] = tuple(SOURCE_SCHEMAS)
 
 # The run stamp column that partitions every stored snapshot.
 STAMP = "etl_inserted"
+
+# Declared foreign keys of the source tables: (columns, parent, parent columns).
+SOURCE_REFERENCES: dict[str, tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...]] = {
+    "nation": ((("n_regionkey",), "region", ("r_regionkey",)),),
+    "customer": ((("c_nationkey",), "nation", ("n_nationkey",)),),
+    "supplier": ((("s_nationkey",), "nation", ("n_nationkey",)),),
+    "partsupp": ((("ps_partkey",), "part", ("p_partkey",)), (("ps_suppkey",), "supplier", ("s_suppkey",))),
+    "orders": ((("o_custkey",), "customer", ("c_custkey",)),),
+    "lineitem": (
+        (("l_orderkey",), "orders", ("o_orderkey",)),
+        (("l_partkey",), "part", ("p_partkey",)),
+        (("l_suppkey",), "supplier", ("s_suppkey",)),
+        (("l_partkey", "l_suppkey"), "partsupp", ("ps_partkey", "ps_suppkey")),
+    ),
+}
