@@ -24,14 +24,16 @@ from strata.plans.snapshots import SnapshotStore
 from strata.session import build_session
 
 
-def _source(spark, kind: str, directory: str | None):
+def _source(spark, args):
     from strata.sources import FixtureSource, JdbcSource, ParquetSource, TblSource
 
-    if kind == "jdbc":
-        return JdbcSource(spark)
-    if not directory:
-        raise SystemExit(f"--source-dir is required for --source {kind}")
-    return {"tbl": TblSource, "parquet": ParquetSource, "fixture": FixtureSource}[kind](spark, directory)
+    if args.source == "jdbc":
+        return JdbcSource(spark, num_partitions=args.jdbc_partitions) if args.jdbc_partitions else JdbcSource(spark)
+    if not args.source_dir:
+        raise SystemExit(f"--source-dir is required for --source {args.source}")
+    if args.source == "tbl":
+        return TblSource(spark, args.source_dir, max_rejects=args.max_rejects, reject_dir=args.root and f"{args.root.rstrip('/')}/rejects", allow_missing=args.allow_missing)
+    return {"parquet": ParquetSource, "fixture": FixtureSource}[args.source](spark, args.source_dir)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -39,6 +41,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--root", default=os.environ.get("STRATA_ROOT"))
     ap.add_argument("--source", choices=("jdbc", "tbl", "parquet", "fixture"), default="jdbc")
     ap.add_argument("--source-dir")
+    ap.add_argument("--max-rejects", type=int, default=0, help="lines of a .tbl table that may not fit its schema; they go to {root}/rejects/<table>")
+    ap.add_argument("--allow-missing", action="store_true", help="a missing .tbl file is an empty table")
+    ap.add_argument("--jdbc-partitions", type=int, help="key ranges of a parallel database read (default: by the table's size)")
+    ap.add_argument("--keep-going", action="store_true", help="with --table: go on after a table that fails; the exit code says so")
     ap.add_argument("--as-of", help="fixed 'today' for the open-order age (default: current date)")
     ap.add_argument("--run-ts", help="run stamp (default: now, UTC)")
     ap.add_argument("--dry-run", action="store_true", help="build every table without writing")
@@ -64,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master, cluster=args.cluster_profile)
     ctx = RunContext(
         spark=spark,
-        source=_source(spark, args.source, args.source_dir),
+        source=_source(spark, args),
         store=SnapshotStore(spark, args.root.rstrip("/")) if args.root else None,
         as_of=args.as_of,
         run_upstream=not args.from_snapshots,
@@ -77,8 +83,11 @@ def main(argv: list[str] | None = None) -> int:
     )
     if args.run_ts:
         ctx.run_ts = args.run_ts
+    failed = 0
     if args.table:
-        built = Runner(ctx).run_all(args.table)
+        runner = Runner(ctx)
+        built = runner.run_all(args.table, keep_going=args.keep_going)
+        failed = len(runner.failed)
     else:
         exports = (None, None) if args.dry_run else (f"{args.root}/interface/finance", f"{args.root}/interface/marketing")
         built = run_pipeline(ctx, *exports)
@@ -86,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in built.items():
             df.write.format("noop").mode("overwrite").save()
             logging.info("built %s", name)
-    return 0
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 REPORT_COLUMNS = ("table_name", "row_count", "null_key_rows", "duplicate_key_values", "duplicate_rows")
 
 
-class InvalidDataError(Exception):
-    """A dataset failed validation; nothing was written."""
+class InvalidDataError(ValueError):
+    """A dataset failed validation; nothing was published."""
 
 
 def key_summary(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import dashboards as D
@@ -80,6 +81,7 @@ class Runner:
         self.built: dict[str, DataFrame] = {}
         self.rows_written: dict[str, int] = {}
         self.resumed: list[str] = []
+        self.failed: dict[str, str] = {}
         self.run_id = self._ledger() if ctx.load_data else ""
         self._stamp: str | None = ctx.upstream_stamp
         self._targets: tuple[str, ...] = ()
@@ -160,6 +162,8 @@ class Runner:
     def run(self, name: str, _path: tuple[str, ...] = ()) -> DataFrame:
         if name in self.built:
             return self.built[name]
+        if name in self.failed:
+            raise ValueError(f"{name} has failed: {self.failed[name]}")
         if name in _path:
             raise ValueError(f"dependency cycle: {' -> '.join((*_path, name))}")
         spec = self.specs[name]
@@ -193,13 +197,15 @@ class Runner:
         try:
             record = store.stage(df, spec.layer, spec.name, self.ctx.run_ts, spec.data_format, run=self.run_id)
             out = store.staged(record)
-            if self.ctx.validate:
-                sc.setJobDescription(f"check {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
-                try:
+            try:
+                if spec.layer == "bronze" and hasattr(self.ctx.source, "settle"):
+                    self.ctx.source.settle(spec.name)
+                if self.ctx.validate:
+                    sc.setJobDescription(f"check {spec.layer}.{spec.name} @ {self.ctx.run_ts}")
                     self.check(spec.name, out)
-                except InvalidDataError:
-                    store.discard(record)
-                    raise
+            except ValueError:  # rejected lines, failed checks
+                store.discard(record)
+                raise
             store.publish(record)
         finally:
             sc.setJobDescription(None)
@@ -207,11 +213,18 @@ class Runner:
         log.info("wrote %s.%s: %d rows in %.2fs", spec.layer, spec.name, record.rows, time.perf_counter() - t0)
         return out
 
-    def run_all(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    def run_all(self, names: Iterable[str] | None = None, keep_going: bool = False) -> dict[str, DataFrame]:
+        """Build the tables.  With ``keep_going`` a table that fails is logged, and ``failed`` has it and what needs it; the others are built."""
         names = list(names or self.specs)
         self.aim(*names)
         for n in names:
-            self.run(n)
+            try:
+                self.run(n)
+            except (PySparkException, OSError, ValueError) as e:
+                if not keep_going:
+                    raise
+                self.failed[n] = str(e).splitlines()[0]
+                log.warning("%s failed: %s", n, self.failed[n])
         return dict(self.built)
 
     def key_report(self) -> DataFrame:

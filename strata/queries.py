@@ -26,7 +26,7 @@ from strata.plans.pipeline import RunContext, Runner, run_pipeline
 from strata.plans.snapshots import SnapshotStore
 from strata.schemas import SOURCE_REFERENCES, SOURCE_TABLES, STAMP
 from strata.session import scratch_dir
-from strata.sources import FixtureSource, read_tbl, write_tbl
+from strata.sources import FixtureSource, TblSource, read_tbl, tbl_line, write_tbl
 
 # Fixed values for deterministic results: the run stamps of the reference's
 # tests and a fixed "today" after the last order date of the test data.
@@ -189,6 +189,31 @@ def _tbl_round_trip(table: str) -> Query:
     return q
 
 
+def _broken_tbl(spark, sf_dir) -> TblSource:
+    """Order lines as .tbl text of which returned lines have no numeric quantity and lines by rail lack their last fields."""
+    df = _src(spark, sf_dir).table("lineitem")
+    whole, short = tbl_line(df.columns), tbl_line(df.columns[:-2])
+    wrong = tbl_line([c if c != "l_quantity" else "_quantity" for c in df.columns])
+    root = scratch_dir(spark, "tbl-rejects")
+    (df.withColumn("_quantity", F.concat(F.lit("q"), F.col("l_quantity")))
+     .select(F.when(F.col("l_shipmode") == "RAIL", short).when(F.col("l_returnflag") == "R", wrong).otherwise(whole).alias("value"))
+     .write.text(f"{root}/lineitem.tbl"))
+    return TblSource(spark, root, {"lineitem": df.schema}, max_rejects=1 << 62, reject_dir=f"{root}/rejects")
+
+
+def q_tbl_load_rejects(spark, sf_dir):
+    """A load of text with broken lines: the rows of the lines that fit."""
+    return _broken_tbl(spark, sf_dir).table("lineitem")
+
+
+def q_tbl_rejected_lines(spark, sf_dir):
+    """The same load stored: its side table of rejected lines, by reason and line."""
+    src = _broken_tbl(spark, sf_dir)
+    SnapshotStore(spark, f"{src.directory}/lake").write_stamp(src.table("lineitem"), "bronze", "lineitem", RUN_TS)
+    src.settle("lineitem")
+    return spark.read.parquet(f"{src.reject_dir}/lineitem").select("line", "reason")
+
+
 def q_pipeline_finance(spark, sf_dir):
     """Dry run of the run graph down to the finance mart."""
     return Runner(_dry_context(spark, sf_dir)).run("finance_metrics")
@@ -332,6 +357,8 @@ QUERIES: dict[str, Query] = {
     "rule_violations": q_rule_violations,
     "tbl_load_nation": _tbl_round_trip("nation"),
     "tbl_load_lineitem": _tbl_round_trip("lineitem"),
+    "tbl_load_rejects": q_tbl_load_rejects,
+    "tbl_rejected_lines": q_tbl_rejected_lines,
     "pipeline_finance": q_pipeline_finance,
     "pipeline_marketing": q_pipeline_marketing,
     "pipeline_stored": q_pipeline_stored,

@@ -104,7 +104,7 @@ def test_pipeline_from_tbl_files_with_a_missing_table(spark, tmp_root):
         cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in schema.fields]
         write_tbl(df.select(*cols), f"{tmp_root}/tbl/{name}.tbl")
-    ctx = RunContext(spark=spark, source=TblSource(spark, f"{tmp_root}/tbl"),
+    ctx = RunContext(spark=spark, source=TblSource(spark, f"{tmp_root}/tbl", allow_missing=True),
                      store=SnapshotStore(spark, f"{tmp_root}/lake"), run_ts=RUN_TS, as_of=AS_OF)
     out = run_pipeline(ctx)
     assert out["partsupp"].count() == 0
@@ -132,3 +132,67 @@ def test_rows_written_are_counted_by_the_write(spark, tmp_root):
     fct = runner.run("fct_orders")
     assert runner.rows_written["fct_orders"] == fct.count() == FixtureSource(spark, SF_SMALL).table("lineitem").count()
     assert runner.rows_written["orders"] == 1500 and set(runner.rows_written) == {"orders", "lineitem", "fct_orders"}
+
+
+def _files(store, layer, name):
+    return store.files.data_files(store.path(layer, name))
+
+
+def test_resumed_run_builds_only_what_is_missing(spark, tmp_root):
+    store = SnapshotStore(spark, tmp_root)
+    Runner(_ctx(spark, store=store)).run("fct_orders")
+    done = {t: _files(store, layer, t) for layer, t in (("bronze", "orders"), ("bronze", "lineitem"), ("silver", "fct_orders"))}
+    runner = Runner(_ctx(spark, store=store, resume=True))
+    runner.run("wide_order_details")
+    assert set(runner.resumed) == {"fct_orders"}  # its own upstream tables are not even looked at
+    assert {t: _files(store, layer, t) for layer, t in (("bronze", "orders"), ("bronze", "lineitem"), ("silver", "fct_orders"))} == done
+    assert set(runner.rows_written) == {"customer", "nation", "region", "part", "partsupp", "supplier", "dim_customer", "dim_part", "wide_order_details"}
+    again = Runner(_ctx(spark, store=store, resume=True))
+    again.run_all()
+    assert "wide_order_details" in again.resumed and set(again.rows_written) == {"finance_metrics", "marketing_metrics"}
+    with pytest.raises(ValueError, match="was started with"):
+        Runner(_ctx(spark, store=store, resume=True, as_of="1999-01-01"))
+    fresh = Runner(_ctx(spark, store=store))  # without resume the stamp is run anew, and an interrupted rerun does not take the first run's tables
+    fresh.run("dim_customer")
+    later = Runner(_ctx(spark, store=store, resume=True))
+    later.run_all(["dim_customer", "dim_part"])
+    assert later.resumed == ["dim_customer", "nation", "region"] and "part" in later.rows_written
+
+
+def test_a_failed_check_leaves_the_earlier_snapshot(spark, tmp_root):
+    from strata.operators.suite import parse_suite
+
+    store = SnapshotStore(spark, tmp_root)
+    Runner(_ctx(spark, store=store)).run("dim_customer")
+    before = _files(store, "silver", "dim_customer")
+    suite = parse_suite('{"dim_customer": [{"check": "between", "column": "account_balance", "min": 0}]}')
+    for stamp in (RUN_TS, RUN_TS_NEXT):
+        runner = Runner(_ctx(spark, store=store, run_ts=stamp, validate=True, suite=suite))
+        with pytest.raises(InvalidDataError, match="between.account_balance. failed on"):
+            runner.run("dim_customer")
+    assert store.stamps("silver", "dim_customer") == [RUN_TS] and _files(store, "silver", "dim_customer") == before
+    allowed = parse_suite('{"dim_customer": [{"check": "between", "column": "account_balance", "min": 0, "allow": 1000}]}')
+    Runner(_ctx(spark, store=store, run_ts=RUN_TS_NEXT, validate=True, suite=allowed)).run("dim_customer")
+    assert store.latest_stamp("silver", "dim_customer") == RUN_TS_NEXT
+
+
+def test_null_keys_are_found_where_keys_repeat(spark):
+    """``dim_part`` repeats its key by design; a NULL in it is still an error."""
+    specs = {"dim_part": T.TableSpec("dim_part", "silver", ("part_key",), (), lambda c, u: spark.createDataFrame([(1,), (1,), (None,)], "part_key long"), unique=False)}
+    with pytest.raises(InvalidDataError, match="not_null.part_key. failed on 1 of 3 rows"):
+        Runner(_ctx(spark, load_data=False, validate=True), specs).run("dim_part")
+
+
+def test_a_run_goes_on_after_a_table_that_fails(spark, tmp_root):
+    from strata.sources import TblSource, write_tbl
+
+    fixture = FixtureSource(spark, SF_SMALL)
+    for name in ("region", "nation", "customer", "supplier"):
+        df = fixture.table(name)
+        schema = TblSource(spark, tmp_root).schemas[name]
+        write_tbl(df.select(*[F.col(f.name) if f.name in df.columns and f.name != "s_suppkey" else F.lit("bad" if f.name == "s_suppkey" else None).alias(f.name) for f in schema.fields]), f"{tmp_root}/{name}.tbl")
+    runner = Runner(_ctx(spark, source=TblSource(spark, tmp_root), store=SnapshotStore(spark, f"{tmp_root}/lake")))
+    built = runner.run_all(["supplier", "part", "dim_part", "dim_customer"], keep_going=True)
+    assert set(built) == {"region", "nation", "customer", "dim_customer"} and set(runner.failed) == {"supplier", "part", "dim_part"}
+    assert runner.failed["supplier"].startswith("supplier: 10 lines do not fit") and "part.tbl" in runner.failed["part"]
+    assert runner.ctx.store.stamps("bronze", "supplier") == []

@@ -77,7 +77,9 @@ def test_tbl_trailing_delimiter_empty_field_and_missing_file(spark, tmp_root):
     os.makedirs(d, exist_ok=True)
     with open(f"{d}/nation.tbl", "w") as f:
         f.write("0|ALGERIA|0| haggle. carefully final deposits|\n1|ARGENTINA|1||\n")
-    src = TblSource(spark, tmp_root)
+    with pytest.raises(FileNotFoundError, match="region.tbl"):
+        TblSource(spark, tmp_root).table("region")
+    src = TblSource(spark, tmp_root, allow_missing=True)
     rows = {r.n_nationkey: r for r in src.table("nation").collect()}
     assert rows[0].n_name == "ALGERIA" and rows[0].n_comment == " haggle. carefully final deposits"
     assert rows[1].n_comment is None
@@ -218,3 +220,29 @@ def test_named_partition_over_all_snapshots(spark, tmp_root):
     store.write(spark.createDataFrame([(1, "x", T1), (2, "y", T1), (3, "y", T2)], kind), "gold", "m", partition_keys=("etl_inserted", "region"))
     assert sorted(r.k for r in store.read_partition("gold", "m", {"region": "y"}).collect()) == [2, 3]
     assert store.stamps("gold", "m") == [T1, T2] and store.record("gold", "m", T1).rows == 2
+
+
+def test_tbl_lines_that_do_not_fit(spark, tmp_root):
+    from strata.sources import RejectedLines
+
+    d = tmp_root.removeprefix("file:")
+    os.makedirs(d, exist_ok=True)
+    good, bad = ["0|ALGERIA|0|x|", "1|ARGENTINA|1||"], ["x|BRAZIL|1|c|", "3|CANADA|1|c", "4|EGYPT|4|c|d|", "5|ETHIOPIA|0|c|d", "", "6|FRANCE|three|c|"]
+    with open(f"{d}/nation.tbl", "w") as f:
+        f.write("\n".join(good + bad) + "\n")
+    bad = [b for b in bad if b]  # an empty line is no line
+    src = TblSource(spark, tmp_root, max_rejects=5, reject_dir=f"{tmp_root}/rejects")
+    SnapshotStore(spark, f"{tmp_root}/lake").write_stamp(src.table("nation"), "bronze", "nation", T1)
+    assert sorted(r.n_name for r in SnapshotStore(spark, f"{tmp_root}/lake").read_latest("bronze", "nation").collect()) == ["ALGERIA", "ARGENTINA"]
+    assert src.settle("nation") == len(bad) == 5
+    rows = {r.line: r for r in spark.read.parquet(f"{tmp_root}/rejects/nation").collect()}
+    assert set(rows) == set(bad) and all(r.file.endswith("nation.tbl") and r.split_offset == 0 for r in rows.values())
+    assert {b: rows[b].reason for b in bad} == {
+        bad[0]: "n_nationkey is not int: x", bad[1]: "4 fields, not 5", bad[2]: "6 fields, not 5", bad[3]: "text after the last delimiter: d", bad[4]: "n_regionkey is not int: three"}
+    strict = TblSource(spark, tmp_root, max_rejects=4)
+    strict.table("nation").write.format("noop").mode("overwrite").save()
+    with pytest.raises(RejectedLines, match="5 lines do not fit, 4 may"):
+        strict.settle("nation")
+    with pytest.raises(Exception, match="line does not fit"):
+        read_tbl(spark, f"{tmp_root}/nation.tbl", src.schemas["nation"]).collect()
+    assert src.table("nation").select("n_name").count() == 4  # types are those of the columns read; the number of fields is always checked
