@@ -53,9 +53,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--suite", help="JSON file of more checks by table (strata.operators.suite); implies --validate")
     ap.add_argument("--resume", action="store_true", help="go on with the run of --run-ts: tables it has published are read, not built")
     ap.add_argument("--part-match", choices=("part", "part_supplier"), default="part", help="join the fact to offers by part, or at its own grain")
-    ap.add_argument("--mart-input", choices=("auto", "wide", "silver"), default="auto",
-                    help="marts read the wide table or the silver tables with fan-out weights "
-                         "(auto: wide when tables are written, silver in a dry run)")
+    ap.add_argument("--mart-input", choices=("auto", "wide", "silver", "source"), default="auto",
+                    help="marts read the wide table, or the silver or source tables with fan-out weights "
+                         "(auto: wide when tables are written, source in a dry run)")
     ap.add_argument("--table", action="append", help="build only these tables (and what they need)")
     ap.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--cluster-profile", action="store_true",

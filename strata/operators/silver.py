@@ -10,6 +10,8 @@ supplier and orders grow with the data and fall back to shuffle joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,12 +120,13 @@ def dim_part(
     return joined.select(*cols, F.lit(run_ts).alias(STAMP))
 
 
-def fct_orders(orders: DataFrame, lineitem: DataFrame, run_ts: str) -> DataFrame:
+def fct_orders(orders: DataFrame, lineitem: DataFrame, run_ts: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per order line, with amounts, delays and the late flag.
 
     Inner join: a line without its order is dropped.  Both inputs shuffle on
     the order key (the largest join of the pipeline); AQE splits a hot
-    order's partition on the line side.
+    order's partition on the line side.  ``keep`` names further columns of
+    either input that the rows carry along.
     """
     l, o = lineitem, orders
     one = F.lit(1).cast("decimal(1,0)")
@@ -154,5 +157,6 @@ def fct_orders(orders: DataFrame, lineitem: DataFrame, run_ts: str) -> DataFrame
         day_diff("o_orderdate", "l_shipdate").alias("shipping_delay_days"),
         day_diff("l_shipdate", "l_receiptdate").alias("delivery_delay_days"),
         (F.col("l_receiptdate") > F.col("l_commitdate")).alias("is_late_delivery"),
+        *keep,
         F.lit(run_ts).alias(STAMP),
     )

@@ -65,10 +65,11 @@ class RunContext:
     @property
     def resolved_mart_input(self) -> str:
         """``auto``: marts read the stored wide table when the run writes it
-        (a pruned scan, no joins), and the silver tables with fan-out
-        weights in a dry run (nothing fanned out is ever materialised)."""
+        (a pruned scan, no joins), and in a dry run the source lines and
+        orders with fan-out weights (nothing fanned out is ever
+        materialised, one shuffle of the lines fewer than from the fact)."""
         if self.mart_input == "auto":
-            return "wide" if self.load_data else "silver"
+            return "wide" if self.load_data else "source"
         return self.mart_input
 
 

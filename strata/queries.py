@@ -9,6 +9,7 @@ directory of the session's shared checkpoint root first.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,6 +23,7 @@ from strata.operators import gold as G
 from strata.operators import silver as S
 from strata.operators.references import Reference, orphan_counts
 from strata.operators.suite import load_suite, suite_report
+from strata.plans.catalog import Catalog
 from strata.plans.pipeline import RunContext, Runner, run_pipeline
 from strata.plans.snapshots import SnapshotStore
 from strata.schemas import SOURCE_REFERENCES, SOURCE_TABLES, STAMP
@@ -98,36 +100,47 @@ def q_wide_order_details_at_grain(spark, sf_dir):
     return G.wide_order_details(fo, dc, dp, RUN_TS, "part_supplier")
 
 
-def _lines(spark, sf_dir, via_wide: bool):
-    fo, dc, dp = _silver(spark, sf_dir)
-    if via_wide:
-        return G.wide_order_details(fo, dc, dp, RUN_TS, "part")
-    return G.mart_lines(fo, dc, dp, "part")
+def _lines(spark, sf_dir, via: str):
+    src = _src(spark, sf_dir)
+    dc, dp = _dim_customer(src), _dim_part(src)
+    if via == "wide":
+        return G.wide_order_details(_fct_orders(src), dc, dp, RUN_TS, "part")
+    if via == "silver":
+        return G.mart_lines(_fct_orders(src), dc, dp, "part")
+    return G.mart_lines_from_sources(src.table("orders"), src.table("lineitem"), dc, dp, "part")
 
 
 def q_finance_metrics(spark, sf_dir):
-    return G.finance_metrics(_lines(spark, sf_dir, via_wide=False), RUN_TS, AS_OF)
+    return G.finance_metrics(_lines(spark, sf_dir, via="source"), RUN_TS, AS_OF)
 
 
 def q_finance_metrics_via_wide(spark, sf_dir):
-    return G.finance_metrics(_lines(spark, sf_dir, via_wide=True), RUN_TS, AS_OF)
+    return G.finance_metrics(_lines(spark, sf_dir, via="wide"), RUN_TS, AS_OF)
+
+
+def q_finance_metrics_via_fact(spark, sf_dir):
+    return G.finance_metrics(_lines(spark, sf_dir, via="silver"), RUN_TS, AS_OF)
 
 
 def q_marketing_metrics(spark, sf_dir):
-    return G.marketing_metrics(_lines(spark, sf_dir, via_wide=False), RUN_TS)
+    return G.marketing_metrics(_lines(spark, sf_dir, via="source"), RUN_TS)
+
+
+def q_marketing_metrics_via_fact(spark, sf_dir):
+    return G.marketing_metrics(_lines(spark, sf_dir, via="silver"), RUN_TS)
 
 
 def q_marketing_metrics_via_wide(spark, sf_dir):
-    return G.marketing_metrics(_lines(spark, sf_dir, via_wide=True), RUN_TS)
+    return G.marketing_metrics(_lines(spark, sf_dir, via="wide"), RUN_TS)
 
 
 def q_top_brand_by_month_segment(spark, sf_dir):
-    ranked = G.top_brands(_lines(spark, sf_dir, via_wide=False))
+    ranked = G.top_brands(_lines(spark, sf_dir, via="source"))
     return ranked.where(F.col("rn") == 1).select("month", "market_segment", "brand", "brand_orders")
 
 
 def q_marketing_by_region(spark, sf_dir):
-    return G.marketing_metrics(_lines(spark, sf_dir, via_wide=False), RUN_TS,
+    return G.marketing_metrics(_lines(spark, sf_dir, via="source"), RUN_TS,
                                by=("month", "customer_region", "market_segment"))
 
 
@@ -326,6 +339,37 @@ def q_finance_dashboard_view(spark, sf_dir):
     return spark.table(D.FINANCE_VIEW)
 
 
+def _catalog(spark, root: str) -> Catalog:
+    return Catalog(spark, f"strata_{uuid.uuid4().hex[:12]}", root + "/database")
+
+
+def q_marketing_view_by_name(spark, sf_dir):
+    """The marketing mart stored at two stamps, its dashboard published in the catalog, and read by its name in another session."""
+    root = scratch_dir(spark, "catalog")
+    store, catalog = SnapshotStore(spark, root + "/lake"), _catalog(spark, root)
+    mart = q_marketing_metrics(spark, sf_dir)
+    for stamp, rows in ((RUN_TS, mart.limit(0)), (RUN_TS_NEXT, mart)):
+        catalog.publish_snapshot(store, store.write_stamp(rows, "gold", "marketing_metrics", stamp))
+        name = catalog.publish_view(D.MARKETING_VIEW, "marketing_metrics", D.MARKETING_LABELS)
+    return spark.newSession().table(name)
+
+
+# Buckets of the co-partitioned tables here; at scale as many as bring a bucket to some hundred MB.
+BUCKETS = 8
+
+
+def _bucketed_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    root, src = scratch_dir(spark, "buckets"), _src(spark, sf_dir)
+    catalog = _catalog(spark, root)
+    return (catalog.write_bucketed(src.table("orders"), "orders", ["o_orderkey"], BUCKETS, root + "/orders"),
+            catalog.write_bucketed(src.table("lineitem"), "lineitem", ["l_orderkey"], BUCKETS, root + "/lineitem"))
+
+
+def q_fct_orders_bucketed(spark, sf_dir):
+    """The fact from orders and lines that are stored dealt by the order key: a join without a shuffle."""
+    return S.fct_orders(*_bucketed_sources(spark, sf_dir), RUN_TS)
+
+
 def q_wide_order_details_misses(spark, sf_dir):
     """The grain join over offers that cover few of the sold (part, supplier) pairs: most lines stay without a part."""
     fo, dc, _ = _silver(spark, sf_dir)
@@ -344,8 +388,10 @@ QUERIES: dict[str, Query] = {
     "wide_order_details": q_wide_order_details,
     "wide_order_details_at_grain": q_wide_order_details_at_grain,
     "finance_metrics": q_finance_metrics,
+    "finance_metrics_via_fact": q_finance_metrics_via_fact,
     "finance_metrics_via_wide": q_finance_metrics_via_wide,
     "marketing_metrics": q_marketing_metrics,
+    "marketing_metrics_via_fact": q_marketing_metrics_via_fact,
     "marketing_metrics_via_wide": q_marketing_metrics_via_wide,
     "top_brand_by_month_segment": q_top_brand_by_month_segment,
     "marketing_by_region": q_marketing_by_region,
@@ -371,5 +417,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_from_snapshots": q_pipeline_from_snapshots,
     "marketing_export": q_marketing_export,
     "finance_dashboard_view": q_finance_dashboard_view,
+    "marketing_view_by_name": q_marketing_view_by_name,
+    "fct_orders_bucketed": q_fct_orders_bucketed,
     "wide_order_details_misses": q_wide_order_details_misses,
 }

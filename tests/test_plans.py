@@ -87,3 +87,91 @@ def test_ancestor_check_detects_a_broadcast_fact(spark):
     lines = _plan(df).split("== Initial Plan ==")[0].splitlines()
     i = next(i for i, l in enumerate(lines) if "FileScan parquet" in l and "/lineitem.parquet" in l)
     assert any("BroadcastExchange" in a for a in _ancestors(lines, i))
+
+
+def _line_exchanges(spark, name: str) -> int:
+    """Shuffles of line rows in a query's plan where nothing is small enough to be broadcast but nation and region.
+
+    Every shuffle above the lines' scan with nothing folded on the way, that
+    is without an aggregate between the scan and the shuffle.
+    """
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (scan,) = [i for i, l in enumerate(lines) if "FileScan parquet" in l and "/lineitem.parquet" in l and "l_extendedprice" in l]
+    above = _ancestors(lines, scan)
+    first = next((i for i, a in enumerate(above) if "Aggregate" in a), len(above))
+    partial = first + 1 if first + 1 < len(above) and "Exchange" in above[first + 1] else first  # a shuffle of rows that the marts fold by order alone counts
+    return sum("Exchange hashpartitioning" in a for a in above[:partial + 1])
+
+
+def test_marts_from_sources_shuffle_the_lines_twice(spark):
+    """By part for the offers and by order; the fold by group and order needs no shuffle.  From the fact it takes two more."""
+    assert _line_exchanges(spark, "finance_metrics") == 2
+    assert _line_exchanges(spark, "finance_metrics_via_fact") == 4
+    assert _line_exchanges(spark, "marketing_metrics") < _line_exchanges(spark, "marketing_metrics_via_fact")
+
+
+def test_a_hot_order_is_split(spark, tmp_path):
+    """An order key that holds most lines: AQE splits its partition of the line side of J7 (``skew=true``), and the rows stay right."""
+    from pyspark.sql import functions as F
+
+    from strata.operators import silver as S
+    from strata.sources import FixtureSource
+
+    src = FixtureSource(spark, SF_SMALL)
+    lines = src.table("lineitem").crossJoin(spark.range(20).select("id")).drop("id").withColumn("l_orderkey", F.when(F.rand(7) < 0.7, F.lit(1)).otherwise(F.col("l_orderkey")))
+    lines.repartition(12).write.parquet(f"file://{tmp_path}/hot")  # a partition is split by the map tasks it comes from
+    lines = spark.read.parquet(f"file://{tmp_path}/hot")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fct = S.fct_orders(src.table("orders"), lines, "t")
+        rows = fct.groupBy("order_key").count().collect()
+        fct.collect()
+        assert "skew=true" in fct._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = {r[0]: r[1] for r in lines.join(src.table("orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey").count().collect()}
+    assert {r[0]: r[1] for r in rows} == want
+
+
+def test_bucketed_orders_and_lines_join_without_a_shuffle(spark):
+    from strata.queries import BUCKETS
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fct = QUERIES["fct_orders_bucketed"](spark, SF_SMALL)
+        plan = _plan(fct)
+        per_order = _plan(fct.groupBy("order_key").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and f"SelectedBucketsCount: {BUCKETS} out of {BUCKETS}" in plan
+    assert "Exchange" not in per_order
+
+
+def test_catalog_names_follow_the_published_stamp(spark, tmp_root):
+    from strata.plans.catalog import Catalog
+    from strata.plans.snapshots import SnapshotStore
+
+    store, catalog = SnapshotStore(spark, tmp_root + "/lake"), Catalog(spark, "strata_names", tmp_root + "/db")
+    name = None
+    for stamp, n in (("2023-01-01", 3), ("it's", 5)):
+        name = catalog.publish_snapshot(store, store.write_stamp(spark.range(n), "gold", "m", stamp))
+        other = spark.newSession().table(name)
+        assert other.count() == n and {r.etl_inserted for r in other.collect()} == {stamp}
+    assert len(spark.catalog.listTables("strata_names")) == 2 and store.read_partition("gold", "m", {"etl_inserted": "2023-01-01"}).count() == 3
+    store.write_stamp(spark.range(1), "gold", "m", "j")  # sorts last
+    assert catalog.publish_latest(store, {"m": "gold"}) == [name] and spark.table(name).count() == 1
+    assert spark.table(catalog.publish_view("v", "m", [("id", "Größe `x`")])).columns == ["Größe `x`"]
+    spark.sql("DROP DATABASE strata_names CASCADE")
