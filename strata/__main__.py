@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
         ap.error("--resume needs --run-ts, and a run that writes")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    spark = build_session(args.master, cluster=args.cluster_profile)
+    spark = build_session(args.master, cluster=args.cluster_profile, root=args.root)
     ctx = RunContext(
         spark=spark,
         source=_source(spark, args),

@@ -41,12 +41,35 @@ CLUSTER_CONF = {
 }
 
 
+# Commit settings for roots on object stores, where a rename is a copy: task output becomes visible by one request for
+# each file (s3a) or through a manifest of renames by the store itself (abfs, gs).  The classes come with Spark's
+# hadoop-cloud module, which such a cluster has to have on its path.
+_CLOUD_PROTOCOL = {
+    "spark.sql.sources.commitProtocolClass": "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol",
+    "spark.sql.parquet.output.committer.class": "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter",
+}
+_FACTORY = "spark.hadoop.mapreduce.outputcommitter.factory.scheme."
+COMMITTERS: dict[str, dict[str, str]] = {
+    "s3a": {**_CLOUD_PROTOCOL, f"{_FACTORY}s3a": "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory",
+            "spark.hadoop.fs.s3a.committer.name": "magic", "spark.hadoop.fs.s3a.committer.magic.enabled": "true"},
+    "abfs": {**_CLOUD_PROTOCOL, f"{_FACTORY}abfs": "org.apache.hadoop.fs.azurebfs.commit.AzureManifestCommitterFactory"},
+    "gs": {**_CLOUD_PROTOCOL, f"{_FACTORY}gs": "org.apache.hadoop.mapreduce.lib.output.committer.manifest.ManifestCommitterFactory"},
+}
+
+
+def committer_conf(root: str | None) -> dict[str, str]:
+    """The commit settings for snapshots below ``root``, by its scheme; none where renames are cheap (``file:``, ``hdfs:``)."""
+    scheme = root.partition("://")[0].lower() if root and "://" in root else ""
+    return dict(COMMITTERS.get({"abfss": "abfs", "s3": "s3a"}.get(scheme, scheme), {}))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "strata",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
     cluster: bool = False,
+    root: str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the pipeline's defaults.
 
@@ -54,8 +77,10 @@ def build_session(
     ``None`` so spark-submit decides.  The defaults (and ``CLUSTER_CONF``
     with ``cluster=True``) only fill keys the launch configuration
     (spark-defaults.conf, ``--conf``) leaves unset; ``shuffle_partitions``
-    and ``extra_conf`` are explicit and always applied.
+    and ``extra_conf`` are explicit and always applied.  ``root`` is where
+    snapshots go: its scheme picks the commit settings.
     """
+    extra_conf = {**committer_conf(root), **(extra_conf or {})}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

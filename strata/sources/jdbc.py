@@ -1,15 +1,17 @@
 """Relational-database source over JDBC.
 
 Every table is read whole (no source filter), like the original full load.
-Reads are split into ``num_partitions`` parallel range queries on the
-table's first key column; the bounds come from one ``min``/``max`` query
-pushed down to the database.  CHAR(n) columns are right-trimmed.
+Reads are split into parallel range queries on the table's first key column.
+The ranges hold about as many rows each, however the keys are spread: a
+histogram of the key, counted by the database, gives them, and buckets that
+hold more than a range may are counted again in finer ones.  There are as many
+ranges as the table's rows ask for.  CHAR(n) columns are right-trimmed.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +62,57 @@ def split_table_name(table_name: str) -> tuple[str, str]:
     raise ValueError(f"expected 'table' or 'schema.table', got {table_name!r}")
 
 
+# Buckets of one histogram query, and how often a bucket may be counted again in finer ones.
+HISTOGRAM_BUCKETS, MOST_ROUNDS = 1024, 8
+# Rows of one range query, unless the number of partitions is given.
+ROWS_PER_PARTITION = 2_000_000
+
+Rows = Sequence[tuple]
+
+
+def histogram_sql(table: str, key: str, low: int, high: int, buckets: int) -> tuple[str, int]:
+    """SQL for (bucket number, rows) of the keys from ``low`` up to but not including ``high``, and the width of a bucket."""
+    width = max(1, -(-(high - low) // buckets))
+    return f"SELECT FLOOR(({key} - ({low})) / {width}.0) AS bucket, COUNT(*) AS n FROM {table} WHERE {key} >= {low} AND {key} < {high} GROUP BY 1", width
+
+
+def key_histogram(query: Callable[[str], Rows], table: str, key: str, low: int, high: int, target: int, buckets: int = HISTOGRAM_BUCKETS,
+                  rounds: int = MOST_ROUNDS) -> list[tuple[int, int, int]]:
+    """(first key, key after the last, rows) of ranges in order; none above ``target`` rows but single keys.
+
+    The database counts; a histogram has ``buckets`` rows at most.
+    """
+    sql, width = histogram_sql(table, key, low, high, buckets)
+    out = []
+    for bucket, n in sorted((int(b), int(n)) for b, n in query(sql)):
+        first = low + bucket * width
+        last = min(high, first + width)
+        if n > target and last - first > 1 and rounds > 1:
+            out += key_histogram(query, table, key, first, last, target, buckets, rounds - 1)
+        else:
+            out.append((first, last, n))
+    return out
+
+
+def balanced_ranges(histogram: Sequence[tuple[int, int, int]], target: int) -> list[int]:
+    """The keys at which a new range starts, so that ranges hold ``target`` rows or fewer where single buckets do."""
+    starts, held = [], 0
+    for first, _, n in histogram:
+        if held and held + n > target:
+            starts.append(first)
+            held = 0
+        held += n
+    return starts
+
+
+def range_predicates(key: str, starts: Sequence[int]) -> list[str]:
+    """Predicates of which every row satisfies exactly one: NULL keys and keys that appear meanwhile below or above are in the first and last."""
+    if not starts:
+        return []
+    inner = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(starts, starts[1:])]
+    return [f"{key} < {starts[0]} OR {key} IS NULL", *inner, f"{key} >= {starts[-1]}"]
+
+
 class JdbcSource:
     """Reads whole source tables from a relational database."""
 
@@ -69,14 +122,16 @@ class JdbcSource:
         self,
         spark: SparkSession,
         config: JdbcConfig | None = None,
-        num_partitions: int = 64,
+        num_partitions: int | None = None,
         fetch_size: int = 10_000,
+        rows_per_partition: int = ROWS_PER_PARTITION,
         keys: Mapping[str, tuple[str, ...]] = SOURCE_KEYS,
         char_columns: Mapping[str, tuple[str, ...]] = CHAR_COLUMNS,
     ) -> None:
         self.spark = spark
         self.config = config or JdbcConfig.from_env()
         self.num_partitions = num_partitions
+        self.rows_per_partition = rows_per_partition
         self.fetch_size = fetch_size
         self.keys = keys
         self.char_columns = char_columns
@@ -92,31 +147,34 @@ class JdbcSource:
             "fetchsize": str(self.fetch_size),
         }
 
-    def _reader(self, table_name: str):
-        return self.spark.read.format("jdbc").options(**self.options(table_name))
+    def _query(self, table_name: str, sql: str) -> Rows:
+        """Rows of a query that the database runs; for a few rows only."""
+        options = self.options(table_name) | {"dbtable": f"({sql}) q"}
+        return [tuple(r) for r in self.spark.read.format("jdbc").options(**options).load().collect()]
+
+    def predicates(self, table_name: str, query: Callable[[str], Rows] | None = None) -> list[str]:
+        """Range predicates of about as many rows each, from the database's own counts; none for a table of one range or without an integer key."""
+        schema, table = split_table_name(table_name)
+        key = (self.keys.get(table) or (None,))[0]
+        if key is None or self.num_partitions == 1:
+            return []
+        query = query or (lambda sql: self._query(table_name, sql))
+        ((low, high, n),) = query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {schema}.{table}")
+        target = -(-int(n) // self.num_partitions) if self.num_partitions else self.rows_per_partition
+        if low is None or int(n) <= target:
+            return []
+        histogram = key_histogram(query, f"{schema}.{table}", key, int(low), int(high) + 1, max(1, target))
+        return range_predicates(key, balanced_ranges(histogram, max(1, target)))
 
     def table(self, name: str) -> DataFrame:
         qualified = name if "." in name else f"{DEFAULT_SCHEMA}.{name}"
-        bare = split_table_name(qualified)[1]
-        key = (self.keys.get(bare) or (None,))[0]
-        reader = self._reader(qualified)
-        if key and self.num_partitions > 1:
-            schema, table = split_table_name(qualified)
-            bounds = (
-                self.spark.read.format("jdbc")
-                .options(**{**self.options(qualified),
-                            "dbtable": f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {schema}.{table}) b"})
-                .load()
-                .first()
-            )
-            if bounds is not None and bounds["lo"] is not None:
-                reader = (
-                    reader.option("partitionColumn", key)
-                    .option("lowerBound", str(bounds["lo"]))
-                    .option("upperBound", str(int(bounds["hi"]) + 1))
-                    .option("numPartitions", str(self.num_partitions))
-                )
-        df = reader.load()
+        bare, options = split_table_name(qualified)[1], self.options(qualified)
+        wanted = self.predicates(qualified)
+        if wanted:
+            own = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+            df = self.spark.read.jdbc(options["url"], options["dbtable"], predicates=wanted, properties=own)
+        else:
+            df = self.spark.read.format("jdbc").options(**options).load()
         chars = set(self.char_columns.get(bare, ()))
         if chars:
             df = df.select(*[F.rtrim(F.col(c)).alias(c) if c in chars else F.col(c) for c in df.columns])

@@ -246,3 +246,60 @@ def test_tbl_lines_that_do_not_fit(spark, tmp_root):
     with pytest.raises(Exception, match="line does not fit"):
         read_tbl(spark, f"{tmp_root}/nation.tbl", src.schemas["nation"]).collect()
     assert src.table("nation").select("n_name").count() == 4  # types are those of the columns read; the number of fields is always checked
+
+
+def _database(rows):
+    """An in-process stand-in for the database, which only this process sees; answers the pushed-down queries."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE SCHEMA public")
+    con.execute("CREATE TABLE public.orders (o_orderkey BIGINT)")
+    con.executemany("INSERT INTO public.orders VALUES (?)", [(r,) for r in rows]) if rows else None
+    return con
+
+
+@pytest.mark.parametrize("keys", [
+    list(range(1000)),
+    [0] + [10**12 + i for i in range(998)] + [10**15],                 # nearly all keys in a sliver of their range
+    [i * i * i for i in range(1000)],
+    [7] * 400 + list(range(-300, 300)),                                 # one key holds 40 % of the rows
+    [None] * 50 + list(range(950)),
+])
+def test_key_ranges_hold_as_many_rows_each(spark, keys):
+    con = _database(keys)
+    src = JdbcSource(spark, JdbcConfig("db", "5432", "tpch", "u", "p"), num_partitions=10)
+    asked = []
+
+    def query(sql):
+        asked.append(sql)
+        rows = con.execute(sql).fetchall()
+        assert len(rows) <= 1024
+        return rows
+
+    predicates = src.predicates("orders", query)
+    counts = [con.execute(f"SELECT count(*) FROM public.orders WHERE {p}").fetchall()[0][0] for p in predicates]
+    assert sum(counts) == len(keys)  # every row in one range
+    hot = max(keys.count(k) for k in set(keys))
+    assert max(counts) <= max(100 if hot == 1 else hot, 100) + keys.count(None) and len(predicates) >= 8 - (hot > 1)
+    assert len(asked) < 30
+
+
+def test_number_of_key_ranges_follows_the_rows(spark):
+    con = _database(range(1000))
+    query = lambda sql: con.execute(sql).fetchall()
+    config = JdbcConfig("db", "5432", "tpch", "u", "p")
+    assert len(JdbcSource(spark, config, rows_per_partition=50).predicates("orders", query)) == 20
+    assert JdbcSource(spark, config).predicates("orders", query) == []
+    assert JdbcSource(spark, config, num_partitions=1).predicates("orders", None) == []
+    assert JdbcSource(spark, config, rows_per_partition=5).predicates("orders", lambda sql: _database([]).execute(sql).fetchall()) == []
+
+
+def test_commit_settings_by_the_roots_scheme():
+    from strata.session import committer_conf
+
+    assert committer_conf(None) == committer_conf("/lake") == committer_conf("file:/lake") == committer_conf("hdfs://n/lake") == {}
+    assert committer_conf("s3a://b/lake")["spark.hadoop.fs.s3a.committer.name"] == "magic"
+    for root, scheme in (("s3a://b/x", "s3a"), ("abfss://c@a/x", "abfs"), ("gs://b/x", "gs")):
+        conf = committer_conf(root)
+        assert f"spark.hadoop.mapreduce.outputcommitter.factory.scheme.{scheme}" in conf and conf["spark.sql.sources.commitProtocolClass"].endswith("PathOutputCommitProtocol")
