@@ -75,6 +75,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def stored_bytes(table: DataFrame) -> int:
+    """The size of a written table's files."""
+    context = table.sparkSession.sparkContext
+    size = 0
+    for name in table.inputFiles():
+        where = context._jvm.org.apache.hadoop.fs.Path(name)
+        size += where.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(where).getLen()
+    return size
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -413,8 +413,8 @@ def brute_lines(rows):
     return out
 
 
-@pytest.mark.parametrize("most", [1 << 14, 30])
-def test_line_dedup(spark, most):
+@pytest.mark.parametrize(("most", "first_few"), [(1 << 12, 64), (8, 2)])
+def test_line_dedup(spark, most, first_few):
     r = random.Random(5)
     base = [words(r.randint(1, 40), s, 20) for s in range(30)]
     rows = [(0, None), (1, ""), (2, "\n\n \n"), (3, "A b c d\na  B c d\na b c d e\na b c x")]
@@ -429,7 +429,7 @@ def test_line_dedup(spark, most):
         rows.append((i, "\n".join(lines)))
     rows.append((90, " ".join(words(6000, 99)) + "\n" + " ".join(words(6000, 99)[::-1])))
     df = stage(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, row int").repartition(3), "t")
-    out = line_dedup.dedup_lines(df, most=most)
+    out = line_dedup.dedup_lines(df, most=most, first_few=first_few)
     assert out.columns == ["doc_id", "text", "row", "n_lines", "n_removed"]
     got = {x.doc_id: x for x in out.collect()}
     assert [got[i].text for i, _ in rows] == brute_lines(rows)
@@ -438,6 +438,20 @@ def test_line_dedup(spark, most):
     assert line_dedup.dedup_lines(twice.limit(0)).count() == 0
 
 
+def test_line_dedup_of_many_lines_of_one_template(spark):
+    """A third of all lines and more are of one template: short ones that differ in a word match none, long ones match the first; no pairs are made."""
+    import time
+
+    n, size = 100_000, 50
+    short, long = "published here by admin on", " ".join(words(20, 7))
+    rows = [(i, "\n".join([*(f"{short} d{i * size + k}" for k in range(size // 2)), *(f"{long} e{i * size + k}" for k in range(size // 2))])) for i in range(n // size)]
+    df = stage(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), "t")
+    began = time.monotonic()
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i: (size, size // 2 - (i == 0)) for i, _ in rows}
+    assert time.monotonic() - began < 90
+
+
 # ---------------------------------------------------------------- row identity
 
 @pytest.fixture()
