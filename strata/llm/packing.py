@@ -3,11 +3,11 @@
 Only the histogram (one count per length, so at most ``capacity`` numbers)
 leaves the cluster.  The program's variables are configurations: multisets of
 lengths that fit into a sequence.  Multiplicative weights price the lengths,
-dearer the more of a length is still unpacked, and a knapsack dynamic program
-finds the best configuration for each length under those prices.  Each round
-takes a share of what the priced configurations can hold, rounded down to
-whole sequences, and the few pieces that rounding leaves are placed by best
-fit.  The plan maps the k-th piece of a length to its sequence and offset by
+dearer the less of a length's demand is covered, and a knapsack dynamic
+program finds the best configurations under those prices.  The columns of all
+rounds add up to a fractional solution, which is rounded down to whole
+sequences; the pieces that rounding leaves are placed by best fit.  The prices
+also bound the number of sequences from below.  The plan maps the k-th piece of a length to its sequence and offset by
 arithmetic, so pieces only need a rank within their length.
 
 Edge cases: a null or empty text is one piece of the end token alone; repeated
@@ -33,11 +33,10 @@ from strata.llm.common import fresh, stage
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 64
-# What a round takes of the sequences that a configuration could still fill, and how fast prices follow what is left.
-SHARE, RATE = 0.25, 1.0
-# Pieces that are left to best fit at the end.
-RESIDUAL = 4096
+# Rounds of the program, configurations that a round adds, how fast weights fall, and how far ahead of its goal a length may be.
+ROUNDS, SEEDS, RATE, SLACK = 200, 32, 4.0, 0.01
+# Shares of the fractional solution that are tried for rounding.
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.125, 0.0625)
 
 
 def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,69 +55,124 @@ def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[n
     return best, last
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """(configuration, number of sequences) that hold every piece of the histogram exactly once."""
-    found: list[tuple[dict[int, int], int]] = []
-    left = {n: int(c) for n, c in histogram.items() if c > 0}
-    if left.get(capacity):
-        found.append(({capacity: 1}, left.pop(capacity)))
-    total = dict(left)
-    tick = 0
-    while left and (tick < ROUNDS or sum(left.values()) > RESIDUAL):
-        # Full sequences only at first; the free room that is allowed then doubles every few rounds.
-        spare = 0 if tick < ROUNDS // 2 else capacity if tick >= ROUNDS - 4 else 1 << (tick - ROUNDS // 2) // 3
-        share = SHARE if tick < ROUNDS // 2 else 1.0
-        lengths = np.array(sorted(left))
-        lag = np.array([left[n] / total[n] for n in lengths.tolist()])
-        best, last = _knapsack(lengths, lengths / capacity * np.exp(RATE * (lag - lag.mean())), capacity)
-        taken = False
-        for seed in lengths[::-1].tolist():
-            if not left.get(seed):
+def _filled(seed: int, lengths: np.ndarray, last: np.ndarray, capacity: int) -> dict[int, int]:
+    """The best configuration that holds ``seed``."""
+    config, room = {seed: 1}, capacity - seed
+    while room > 0:
+        if last[room] < 0:
+            room -= 1
+        else:
+            n = int(lengths[last[room]])
+            config[n] = config.get(n, 0) + 1
+            room -= n
+    return config
+
+
+def solve(demand: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[tuple[tuple[int, int], ...], float], float]:
+    """A fractional solution {configuration: sequences}, of full sequences alone, and a lower bound for any solution.
+
+    Multiplicative weights: after t of T rounds every length should be covered
+    to t / T of its demand.  Its weight falls exponentially with how far it is
+    ahead of that, its price is the room it takes times its weight, and lengths
+    that are ahead by more than a little are left out of the round.  A round
+    adds the configurations of the highest value that hold the lengths which
+    lag most, each by what keeps its lengths within that little.  The columns
+    so add up over all rounds, and what they hold stays in proportion to the
+    demand.  Prices at which no configuration is worth more than a sequence
+    bound the program from below.
+    """
+    lengths = np.array(sorted(demand))
+    d = np.array([demand[n] for n in lengths.tolist()], float)
+    at = {n: i for i, n in enumerate(lengths.tolist())}
+    total, covered, bound = float((lengths * d).sum()) / capacity, np.zeros(len(lengths)), 0.0
+    found: dict[tuple[tuple[int, int], ...], float] = {}
+    for t in range(ROUNDS):
+        goal = (t + 1) / ROUNDS
+        z = np.clip(RATE * (t / ROUNDS - covered / d), -30, 30)
+        price = lengths / capacity * np.exp(z - z.mean())
+        free = np.flatnonzero(covered / d < goal + SLACK)
+        own = lengths[free]
+        best, last = _knapsack(own, price[free], capacity)
+        if len(free) == len(lengths):
+            bound = max(bound, float((d * price).sum()) / best[capacity])
+        taken = 0
+        for seed in own[np.lexsort((own, z[free]))[::-1]].tolist():
+            config = _filled(seed, own, last, capacity)
+            if sum(n * a for n, a in config.items()) < capacity:
                 continue
-            config, room = {seed: 1}, capacity - seed
-            while room > 0:
-                if last[room] < 0:
-                    room -= 1
-                else:
-                    n = int(lengths[last[room]])
-                    if config.get(n, 0) < left.get(n, 0):
-                        config[n] = config.get(n, 0) + 1
-                        room -= n
-                    else:  # this length is used up: go on below it
-                        room -= 1
-            if capacity - sum(n * a for n, a in config.items()) > spare:
+            i, a = np.array([at[n] for n in config]), np.array(list(config.values()), float)
+            step = min(2 * total / ROUNDS / SEEDS, float(((goal + SLACK - covered[i] / d[i]) * d[i] / a).min()))
+            if step <= 0:
                 continue
-            most = min(left[n] // a for n, a in config.items())
-            if most:
-                x = max(1, int(share * most))
-                found.append((config, x))
-                taken = True
-                for n, a in config.items():
-                    left[n] -= a * x
-                    if not left[n]:
-                        del left[n]
-        if not taken and tick < ROUNDS // 2:
-            tick = ROUNDS // 2
-        else:
-            tick += 1
-    return found + _best_fit(left, capacity)
+            key = tuple(sorted(config.items()))
+            found[key] = found.get(key, 0.0) + step
+            covered[i] += a * step
+            taken += 1
+            if taken == SEEDS:
+                break
+    return found, bound
+
+
+def _rounded(found: dict, demand: dict[int, int], share: float) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Whole sequences of a share of the fractional solution, and what they leave."""
+    left, out = dict(demand), []
+    for config, x in sorted(found.items(), key=lambda e: (-e[1], e[0])):
+        k = min([int(share * x), *(left.get(n, 0) // a for n, a in config)])
+        if k:
+            out.append((dict(config), k))
+            for n, a in config:
+                left[n] -= a * k
+    return out, {n: c for n, c in left.items() if c}
+
+
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """(configuration, number of sequences) that hold every piece of the histogram exactly once, and a lower bound for the number of sequences.
+
+    Of the fractional solution the share is rounded down that gives the fewest
+    sequences with what best fit makes of the rest, the largest such share.
+    """
+    left = {n: int(c) for n, c in histogram.items() if c > 0}
+    whole = [({capacity: 1}, left.pop(capacity))] if left.get(capacity) else []
+    if not left:
+        return whole, sum(x for _, x in whole)
+    found, bound = solve(left, capacity)
+    plans = []
+    for share in SHARES:
+        taken, rest = _rounded(found, left, share)
+        plans.append(taken + best_fit(rest, capacity))
+    best = min(plans, key=lambda plan: sum(x for _, x in plan))
+    least = max(-(-sum(n * c for n, c in left.items()) // capacity), int(np.ceil(bound - 1e-6)))
+    return whole + best, least + sum(x for _, x in whole)
+
+
+def best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Longest pieces first, each where the least room is left that holds it; equal sequences are filled together, so time follows the lengths, not the pieces."""
+    rooms: list[tuple[int, int]] = []  # (room, number of the group), sorted
+    groups: list[tuple[dict[int, int], int]] = []  # sequences of one content, and how many
 
+    def put(room: int, config: dict[int, int], count: int) -> None:
+        if count:
+            bisect.insort(rooms, (room, len(groups)))
+            groups.append((config, count))
 
-def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Place single pieces, longest first, where the least room is left that holds them."""
-    bins: list[dict[int, int]] = []
-    rooms: list[tuple[int, int]] = []
     for n in sorted(left, reverse=True):
-        for _ in range(left[n]):
+        k = left[n]
+        while k:
             at = bisect.bisect_left(rooms, (n, -1))
+            room, (config, count) = (capacity, ({}, k)) if at == len(rooms) else (rooms[at][0], groups[rooms[at][1]])
             if at < len(rooms):
-                room, k = rooms.pop(at)
-            else:
-                room, k = capacity, len(bins)
-                bins.append({})
-            bins[k][n] = bins[k].get(n, 0) + 1
-            bisect.insort(rooms, (room - n, k))
-    return [(b, 1) for b in bins]
+                rooms.pop(at)
+            # A sequence stays the one of least room until it holds no further piece of this length.
+            each = room // n
+            full = min(count, k // each)
+            put(room - each * n, config | {n: each}, full)
+            k, count = k - full * each, count - full
+            if k and count:
+                put(room - min(k, each) * n, config | {n: min(k, each)}, 1)
+                k, count = k - min(k, each), count - 1
+            if config:
+                put(room, config, count)
+    return [groups[i] for _, i in rooms]
 
 
 @dataclass
@@ -207,7 +261,7 @@ def pack(df: DataFrame, text_col: str = "text", path: str | None = None, capacit
     counts = cuts.groupBy(part, length).agg(F.count("*").alias(before))
     counts = stage(counts, "counts")
     histogram = {r[length]: r["n"] for r in counts.groupBy(length).agg(F.sum(before).alias("n")).collect()}
-    shared = df.sparkSession.sparkContext.broadcast(Plan.of(configurations(histogram, capacity)))
+    shared = df.sparkSession.sparkContext.broadcast(Plan.of(configurations(histogram, capacity)[0]))
     earlier = Window.partitionBy(length).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(part, length, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
     ranked = cuts.join(offsets, [part, length]).withColumn(rank, F.col(rank) + F.col(before)).select(*cuts.columns)

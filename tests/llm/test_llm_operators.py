@@ -166,19 +166,75 @@ def test_lines_above_the_limit_are_removed(spark):
 
 # ---------------------------------------------------------------- 4
 
+def least_sequences(pieces, capacity):
+    """The fewest sequences, by trying all places of each piece."""
+    best = [len(pieces)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(pieces):
+            best[0] = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= pieces[i]}.values():
+            place(i + 1, [*rooms[:k], rooms[k] - pieces[i], *rooms[k + 1:]])
+        place(i + 1, [*rooms, capacity - pieces[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_best_fit_by_groups_is_that_of_single_pieces():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        histogram = {int(n): int(c) for n, c in zip(r.choice(np.arange(1, 41), 8, False), r.integers(1, 30, 8))}
+        rooms = []
+        for n in sorted(histogram, reverse=True):
+            for _ in range(histogram[n]):
+                fits = [k for k, x in enumerate(rooms) if x >= n]
+                k = min(fits, key=lambda k: rooms[k]) if fits else rooms.append(40) or len(rooms) - 1
+                rooms[k] -= n
+        found = packing.best_fit(histogram, 40)
+        assert sorted(40 - sum(n * a for n, a in c.items()) for c, x in found for _ in range(x)) == sorted(rooms)
+
+
 def test_configurations_hold_every_piece():
     r = np.random.default_rng(0)
-    for lengths, bound in ((np.clip(r.lognormal(5.8, 1, 20000), 1, 1024), 1.005), (r.integers(500, 700, 3000), 2), (np.array([1024] * 5 + [600] * 7 + [1] * 3), 2)):
-        histogram = {int(n): int(c) for n, c in zip(*np.unique(lengths.astype(int), return_counts=True))}
-        found = packing.configurations(histogram)
+    many = np.clip(r.lognormal(5.8, 1, 20000), 1, 1024)
+    for lengths, times in ((many, 1), (many, 30), (many, 10 ** 6), (r.integers(500, 700, 3000), 1), (np.array([1024] * 5 + [600] * 7 + [1] * 3), 1), (np.array([3]), 10 ** 9)):
+        histogram = {int(n): int(c) * times for n, c in zip(*np.unique(lengths.astype(int), return_counts=True))}
+        found, bound = packing.configurations(histogram)
         held = {}
         for config, x in found:
             assert x > 0 and sum(n * a for n, a in config.items()) <= 1024
             for n, a in config.items():
                 held[n] = held.get(n, 0) + a * x
         assert held == histogram
-        assert sum(x for _, x in found) <= bound * sum(n * c for n, c in histogram.items()) / 1024 + 1
-    assert packing.configurations({}) == [] and sum(x for _, x in packing.configurations({600: 10 ** 9, 3: 5})) == 10 ** 9
+        n, plain = sum(x for _, x in found), sum(x for _, x in packing.best_fit(histogram, 1024))
+        assert bound <= n <= max(plain, int(1.0005 * bound) + 1)
+    assert packing.configurations({}) == ([], 0)
+
+
+def test_sequences_are_as_few_as_the_least():
+    r = np.random.default_rng(2)
+    for _ in range(40):
+        pieces = sorted(r.integers(1, 13, r.integers(1, 10)).tolist(), reverse=True)
+        found, bound = packing.configurations({n: pieces.count(n) for n in pieces}, 12)
+        least = least_sequences(pieces, 12)
+        assert bound <= least <= sum(x for _, x in found) <= least + 1
+
+
+def test_the_fractional_solution_is_of_full_sequences_in_proportion():
+    r = np.random.default_rng(3)
+    demand = {int(n): int(c) for n, c in zip(*np.unique(np.clip(r.lognormal(5, 1, 50000), 1, 1023).astype(int), return_counts=True))}
+    found, bound = packing.solve(demand)
+    covered = {}
+    for config, x in found.items():
+        assert x > 0 and sum(n * a for n, a in config) == 1024
+        for n, a in config:
+            covered[n] = covered.get(n, 0) + a * x
+    assert all(c <= (1 + packing.SLACK) * demand[n] + 1e-6 for n, c in covered.items())
+    assert sum(found.values()) > 0.5 * bound and bound <= sum(n * c for n, c in demand.items()) / 1024 + 1e-6
 
 
 def test_packing(spark):
@@ -194,6 +250,8 @@ def test_packing(spark):
         for k, (s, n) in enumerate(packing.cut(len(ids), 1024)):
             want.append((str(i), k, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()), tuple(ids[s:s + n])))
     assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32, tuple(r.ids)) for r in out) == sorted(want)
+    lengths = [r.length for r in out]
+    assert len({r.sequence_id for r in out}) <= sum(x for _, x in packing.best_fit({n: lengths.count(n) for n in lengths}, 1024))
     sequences = {}
     for r in out:
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
