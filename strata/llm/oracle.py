@@ -51,11 +51,11 @@ own AS (
 host AS (SELECT host, count(DISTINCT k) AS n_docs FROM doc GROUP BY host),
 frequent AS (
   SELECT host, line FROM (SELECT host, line, count(*) AS n FROM own GROUP BY ALL) JOIN host USING (host)
-  WHERE n >= 20 AND n > 0.5 * n_docs),
+  WHERE n >= 20 AND n > 0.05 * n_docs),
 share AS (
   SELECT own.host, own.k, sum(n) AS n, sum(CASE WHEN frequent.line IS NULL THEN 0 ELSE n END) AS gone
   FROM own LEFT JOIN frequent ON own.host = frequent.host AND own.line = frequent.line GROUP BY ALL),
-depleted AS (SELECT host, k FROM share WHERE gone > 0 AND n - gone < 0.3 * n),
+depleted AS (SELECT host, k FROM share WHERE gone > 0 AND (n - gone < 0.3 * n OR n - gone < 50)),
 counted AS (
   SELECT doc.r, doc_id, host, k, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
@@ -90,9 +90,14 @@ SELECT r, CAST(stop - length(m) AS BIGINT) AS start, {kind} AS kind, CAST(stop A
 WHERE {test}"""
 
 
-_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+def _either_case(word: str) -> str:
+    """A word in either case of its ASCII letters; case folding would take further letters for them."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 _VALUE = f"regexp_extract(m, '{_ASSIGN}', 2)"
-_MIXED = "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')"
+_MIXED = "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')"
 
 OP8 = f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
@@ -102,10 +107,11 @@ found AS (
 {_spans(2, "[0-9a-f]{24,}", "true")} UNION ALL
 {_spans(3, "[A-Za-z0-9+/_-]{20,}={0,2}", _MIXED)}),
 owned AS (
-  SELECT value, count(DISTINCT coalesce(source, '')) AS n_owners FROM found JOIN doc USING (r) GROUP BY value),
+  SELECT value, count(*) AS n_repositories, count(DISTINCT owner) AS n_owners
+  FROM (SELECT value, md5(text), min(coalesce(source, '')) AS owner FROM found JOIN doc USING (r) GROUP BY ALL) GROUP BY value),
 judged AS (
-  SELECT *, n_owners <= 1 AS live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || start || ':' || stop AS one
-  FROM found JOIN owned USING (value) WHERE kind < 3 OR n_owners <= 1),
+  SELECT *, n_owners <= 2 AND n_repositories <= 9 AS live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || start || ':' || stop AS one
+  FROM found JOIN owned USING (value) WHERE kind < 3 OR (n_owners <= 2 AND n_repositories <= 9)),
 total AS (
   SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
          string_agg(one, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(one, ',' ORDER BY start, kind) AS spans,

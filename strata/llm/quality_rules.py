@@ -3,8 +3,9 @@
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed.  For
 each host the operator counts the distinct documents that hold a line; equal
 texts of a host count once, so copies of a document do not turn its lines into
-boilerplate.  A line above the host's limit is removed from the text, and a
-document that keeps too small a share of its words is depleted and rejected.
+boilerplate.  A line above the host's limit is removed from the text.  A
+document that loses lines and keeps too small a share of its words, or fewer
+words than the base rules ask for, is depleted and rejected.
 
 Edge cases: a null text has no words and fails the base rules; a null host is
 one host of its own, shared with the empty string; repeated rows get equal
@@ -13,6 +14,8 @@ verdicts, one row each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +28,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 # A line is boilerplate of a host if it is in more than this share of the host's distinct documents, and in this many.
-MAX_DOC_SHARE = 0.5
+MAX_DOC_SHARE = 0.05
 MIN_DOCS = 20
-# A document is depleted if it keeps less than this share of its words.
+# A document that loses lines is depleted if it keeps less than this share of its words, or fewer than MIN_WORDS.
 MIN_KEPT_SHARE = 0.3
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -122,7 +125,7 @@ def frequent_lines(df: DataFrame, text_col: str = "text", host_col: str = "sourc
              .groupBy("host").agg(F.count("*").alias("n_docs")))
     return (
         line_table(df, text_col, host_col).groupBy("host", "line").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") >= min_docs)
-        .join(hosts, "host").where(F.col("n_texts") > F.lit(max_doc_share) * F.col("n_docs"))
+        .join(hosts, "host").where(F.col("n_texts") > F.lit(Decimal(str(max_doc_share))) * F.col("n_docs"))
         .groupBy("host").agg(F.collect_list(F.lower(F.hex("line"))).alias("lines"))
     )
 
@@ -165,7 +168,7 @@ def quality_rules(df: DataFrame, text_col: str = "text", host_col: str = "source
     out = text_statistics(out, text_col, own).withColumn(cut, without_lines(F.col(text_col), F.col(cut)))
     fails = base_failed(F.col(own[0]), F.col(own[4]))
     n, removed = F.col(cut)["n"], F.col(cut)["n_removed"]
-    depleted = F.coalesce(n - removed < F.lit(min_kept_share) * n, F.lit(False))
+    depleted = F.coalesce((removed > 0) & ((n - removed < F.lit(Decimal(str(min_kept_share))) * n) | (n - removed < MIN_WORDS)), F.lit(False))
     columns = [F.coalesce(F.col(cut)["text"], F.col(c)).alias(c) if c == text_col else F.col(c) for c in df.columns]
     return out.select(*columns, *own, fails.alias(failed), (~fails & ~depleted).alias(kept))
 

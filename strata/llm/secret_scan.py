@@ -1,16 +1,18 @@
 """Secret scan: rule spans, and corpus-wide ownership of every candidate value, in DataFrame functions only.
 
-Three rules give base spans.  Besides, any long mixed run of credential
-characters is a candidate.  Candidate values are hashed and aggregated over
-the corpus by distinct repositories and owners: a value that many owners hold
-is a widely copied example, a value of one owner is live-looking.  A candidate
-outside the rules that is live-looking adds a span of kind ``live``; base
-spans always stay and are counted as live or copied.
+Three rules give base spans.  Besides, any long run of credential characters
+with a digit and a letter is a candidate, whether a rule's match holds it or
+not.  Values are hashed and aggregated over the corpus by distinct
+repositories and owners.  A repository is a distinct text, of the first of its
+owners: copies of a document, within a source or across sources, are one.  A
+value that more than a few owners or many texts hold is a widely copied
+example; any other is live-looking.  A candidate that is live-looking adds a
+span of kind ``live`` around the value itself; base spans always stay and are
+counted as live or copied.
 
 Spans are in code points, end exclusive, of whole matches.  Edge cases: a null
-text has no spans; a null owner or repository is one owner or repository of
-its own; repeated rows give one result row each and are one repository; an
-empty table gives an empty result.
+text has no spans; a null owner is one owner of its own; repeated rows give one
+result row each and are one repository; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE_LENGTH = 6
 KINDS = ("assign", "access", "hex", "live")
 
-# A candidate of the method: a run of credential characters with a digit, a lower-case and an upper-case letter.
+# A candidate of the method: a run of credential characters with a digit and a letter.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-# A value is live-looking if at most this many owners hold it; more owners make it a copied example.
-MAX_OWNERS = 1
+# A value is live-looking if at most so many owners hold it in at most so many distinct texts: a near copy of a document
+# in a second source, or a key used in a few documents, is no spread; beyond either it is a copied example.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 9
 
 
 def _let(value: Column, body) -> Column:
@@ -69,8 +72,8 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column) -> Column:
-    """Long mixed runs that may be credentials, whatever stands before them."""
-    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
+    """Long runs that may be credentials, whatever stands before them."""
+    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
     return F.filter(matches(text, CANDIDATE, 3), mixed)
 
 
@@ -87,31 +90,33 @@ def ownership(candidates: DataFrame) -> DataFrame:
     that a third of all rows hold is spread until only counts are left.
     """
     return (
-        candidates.groupBy("value_hash", "owner", "repository").agg(F.lit(1).alias("one"))
+        candidates.groupBy("value_hash", "repository").agg(F.min("owner").alias("owner"))
         .groupBy("value_hash", "owner").agg(F.count("*").alias("n"))
         .groupBy("value_hash").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
     )
 
 
-def scan_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id",
-                 max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repository_col: str | None = None,
+                 max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``df`` without its text, plus ``base`` and ``spans`` (arrays of start, kind, end, value, n_repositories, n_owners, live).
 
     The text is read once: the spans of every row are written first, and the
-    rest works on them.  Columns of ``df`` that clash keep their names; the
-    new ones get leading underscores.
+    rest works on them.  A repository is a distinct text, or a value of
+    ``repository_col``.  Columns of ``df`` that clash keep their names; the new
+    ones get leading underscores.
     """
     keep = [c for c in df.columns if c != text_col]
     row, owner, repository, base, more, spans = fresh(keep, "row", "owner", "repository", "base", "candidates", "spans")
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
-    found = stage(with_row_id(df, row).select(*keep, row, named(owner_col).alias(owner), named(repository_col).alias(repository),
+    place = named(repository_col) if repository_col else F.md5(text.cast("binary"))
+    found = stage(with_row_id(df, row).select(*keep, row, named(owner_col).alias(owner), place.alias(repository),
                                               base_spans(text).alias(base), candidate_spans(text).alias(more)), "secrets")
     entry = F.explode(F.concat(base, more)).alias("s")
     each = found.where(F.size(base) + F.size(more) > 0).select(row, F.col(owner).alias("owner"), F.col(repository).alias("repository"), entry)
     each = each.withColumn("value_hash", F.unhex(F.sha2(F.col("s.value").cast("binary"), 256)))
     owned = ownership(each.select("value_hash", "owner", "repository"))
-    live = F.col("n_owners") <= max_owners
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
     judged = (
         each.join(owned, "value_hash").where((F.col("s.kind") < 3) | live)
         .groupBy(row).agg(F.array_sort(F.collect_list(F.struct(
