@@ -80,7 +80,7 @@ def text_statistics(df: DataFrame, text_col: str = "text", names: tuple[str, ...
     """Add word, symbol, duplicate-line and repeated-window counts (long) under ``names``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = words_of(text)
-    values = (F.size(words), F.length(_without(text, SPACE)), F.length(text) - F.length(_without(text, SYMBOLS)),
+    values = (F.size(words), F.length(F.array_join(words, "")), F.regexp_count(text, F.lit(f"[{SYMBOLS}]")),
               _dup_lines(F.split(text, "\n")), _repeat_words(words))
     return df.select("*", *[v.cast("bigint").alias(n) for v, n in zip(values, names)])
 
@@ -98,8 +98,23 @@ def _text_key(text_col: str) -> Column:
 
 
 def normal_line(raw: Column) -> Column:
-    words = F.regexp_replace(F.btrim(raw, F.lit(SPACE)), r"[\x20\x09-\x0D]+", " ")
-    return F.translate(words, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A line with A-Z lower-cased and white space collapsed.
+
+    Most lines have single spaces and many are ASCII: those go without the
+    regular expression and the mapping of single characters, which cost most.
+    """
+
+    def collapsed(line: Column) -> Column:
+        odd = F.contains(line, F.lit("  "))
+        for c in SPACE[1:]:
+            odd = odd | F.contains(line, F.lit(c))
+        return F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
+
+    def lowered(line: Column) -> Column:
+        return F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(
+            F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+    return _let(F.btrim(raw, F.lit(SPACE)), lambda line: _let(collapsed(line), lowered))
 
 
 def line_table(df: DataFrame, text_col: str, host_col: str) -> DataFrame:
