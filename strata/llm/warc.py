@@ -37,8 +37,6 @@ CHUNK_BYTES = 256 << 10
 FILE_BYTES = 1 << 30
 DATE = "2000-01-01T00:00:00Z"
 END = b"\r\n\r\n"
-# Longest header block that is accepted while reading.
-HEADER_BYTES = 1 << 20
 RECORD_ID = "urn:strata:page"
 
 MANIFEST = "path string, n_records bigint, n_bytes bigint"
@@ -175,17 +173,22 @@ class _Stream:
         return out
 
     def block(self) -> bytes | None:
-        """The bytes before the next empty line, or None at the end of the archive."""
-        while (at := self.buffer.find(END)) < 0:
-            if len(self.buffer) > HEADER_BYTES:
-                raise ValueError("a header block of an archive is too long")
-            more = self._more()
-            if not more:
-                if self.buffer.strip():
-                    raise ValueError("an archive ends inside a header block")
-                return None
-            self.buffer += more
-        out, self.buffer = self.buffer[:at], self.buffer[at + len(END):]
+        """The bytes before the next empty line, of any length, or None at the end of the archive."""
+        held = bytearray(self.buffer)
+        while (at := held.find(END)) < 0:
+            seen = max(0, len(held) - len(END) + 1)
+            while True:  # only what is new is searched
+                more = self._more()
+                if not more:
+                    if held.strip():
+                        raise ValueError("an archive ends inside a header block")
+                    self.buffer = b""
+                    return None
+                held += more
+                if held.find(END, seen) >= 0:
+                    break
+                seen = max(0, len(held) - len(END) + 1)
+        out, self.buffer = bytes(held[:at]), bytes(held[at + len(END):])
         return out
 
 

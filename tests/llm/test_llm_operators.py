@@ -287,6 +287,25 @@ def test_warc_round_trip(spark, tmp_root):
     assert warc.read_warc(warc.write_warc(warc.records(df.limit(0), "page_id", "url", "html"))).count() == 0
 
 
+def test_warc_of_long_urls_and_broken_archives(spark, tmp_root):
+    import gzip
+
+    pages = [(1, "u" * 3_000_000, "p" * 700_000), (2, "v", "p" * 700_000), (3, None, None), (4, "w", "")]
+    df = spark.createDataFrame([(*p, "mine") for p in pages], "page_id long, url string, html string, record string").repartition(1)
+    manifest = warc.write_warc(warc.records(df, "page_id", "url", "html"))
+    out = {r.page_id: r for r in warc.read_warc(manifest).where("last").collect()}
+    assert {i: (r.url, r.payload_bytes, r.record_type) for i, r in out.items()} == {
+        "1": ("u" * 3_000_000, 700_000, "response"), "2": ("v", 700_000, "revisit"), "3": (None, 0, "response"), "4": ("w", 0, "response")}
+    path = manifest.first().path.removeprefix("file:")
+    whole = gzip.decompress(open(path, "rb").read())
+    cuts = {"inside record": whole[:whole.find(b"ppppp") + 9], "inside a header": whole[:200], "match its digest": whole.replace(b"pppp", b"pqpp", 1)}
+    for message, body in cuts.items():
+        name = f"{path}.{message.split()[0]}.warc"
+        open(name, "wb").write(body)
+        with pytest.raises(ValueError, match=message):
+            list(warc.read_records(f"file:{name}"))
+
+
 # ---------------------------------------------------------------- 6
 
 def test_main_text():
