@@ -51,7 +51,7 @@ class Catalog:
             self.spark.catalog.createTable(f"{self.database}.{files}", path=f"{store.path(record.layer, record.name)}/{record.path}", source=record.data_format,
                                            schema=T.StructType.fromJson(json.loads(record.schema)))
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(record.name)} AS SELECT *, {_text(record.stamp)} AS {STAMP} FROM {self.name(files)}")
-        earlier = [t.name for t in self.spark.catalog.listTables(self.database) if t.name.startswith(f"{record.name}__") and t.name != files]
+        earlier = [t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary and t.name.startswith(f"{record.name}__") and t.name != files]
         for table in earlier:  # external: their files stay
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
         return f"{self.database}.{record.name}"
