@@ -20,7 +20,7 @@ def test_query_matches_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = QUERIES[name](spark, SF_SMALL)
     found = con.execute(ORACLE_SQL[name])
@@ -75,3 +75,20 @@ def test_quality_stage_removes_boilerplate_of_a_large_host(spark):
     got = {r.doc_id: r for r in corpus_pipeline.quality(spark, docs, SF_SMALL).collect()}
     assert set(got) == {i for i, _ in rows if i >= 100}
     assert all(got[i].text == (own(i) if i < 200 else t) and got[i].n_chars == len(got[i].text) for i, t in rows if i >= 100)
+
+
+def test_stages_take_odd_rows(spark):
+    """Null and empty texts, repeated rows and ids, a null source, extra columns with names that the operators use, and an empty table."""
+    own = lambda i, n=70: " ".join(words(n, i))
+    rows = [(1, None, "a"), (2, "", None), (None, own(3), "a"), (4, own(4), None), (4, own(4), None), (5, own(5, 3000), "b"), (6, own(6), "b")]
+    kind = "doc_id long, text string, source string, n_chars long, row string, kept int, mark string, piece string, Lines string, first long"
+    docs = spark.createDataFrame([(i, t, s, len(t or ""), "r", 1, "m", "p", "l", 9) for i, t, s in rows], kind)
+    for table, want in ((docs, [None, 4, 5, 6]), (docs.limit(0), [])):
+        out = stage(table, "odd")
+        for name, apply in corpus_pipeline.STAGES[:-1]:
+            out = stage(apply(spark, out, SF_SMALL), name)
+            assert out.columns == docs.columns, name
+        assert sorted((r.doc_id for r in out.collect()), key=str) == sorted(want, key=str)
+        packed = corpus_pipeline.STAGES[-1][1](spark, out, SF_SMALL)
+        assert {r[0] for r in packed.select("doc_id").collect()} == set(want) and packed.columns[:9] == [c for c in docs.columns if c != "text"]
+    clear_scratch(spark)
