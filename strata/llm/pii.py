@@ -16,15 +16,24 @@ number but fails its check stays as it is; other columns are untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import fresh
 
 ROUNDS = 8
 KEY_SETTING = "spark.strata.pii.key"
+# For local sessions alone, as in tests: whoever has the key can reverse the pseudonyms.
 DEFAULT_KEY = "strata-pii-development-key"
 
+
+def session_key(spark: SparkSession) -> str:
+    """The key from the session's ``KEY_SETTING``; only a local session may leave it unset."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {KEY_SETTING}: pseudonyms under a known key can be reversed")
+    return key or DEFAULT_KEY
+
 # Digits as cards are written: unbroken, 4-4-4-4, 4-6-5 and 4-6-4; and what is no part of a card, though it may follow one.
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5})(?![0-9])"
 OTHER = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])|[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![0-9])|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}(?![0-9])"

@@ -25,8 +25,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = spark.conf.get(pii.KEY_SETTING, pii.DEFAULT_KEY)
-    out = pii.pseudonymise(_table(spark, sf_dir, "documents"), key)
+    out = pii.pseudonymise(_table(spark, sf_dir, "documents"), pii.session_key(spark))
     of = lambda kind: lambda r: r["kind"] == kind
     counts = [F.size(F.filter("replaced", of(kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return out.select("doc_id", "text", *counts)

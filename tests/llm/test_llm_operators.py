@@ -119,6 +119,23 @@ def test_phones_of_any_digits_and_cards_beside_digits(spark):
     assert pii.pseudonymise(ten, "k").select("text").distinct().count() == 4000
 
 
+def test_pseudonym_key_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    session = lambda master, key: SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: key or default), sparkContext=SimpleNamespace(master=master))
+    assert pii.session_key(spark) == pii.DEFAULT_KEY and pii.session_key(session("yarn", "own")) == "own"
+    with pytest.raises(ValueError, match="strata.pii.key"):
+        pii.session_key(session("yarn", None))
+
+
+def test_pseudonyms_of_an_empty_table_and_repeated_rows(spark):
+    rows = [(1, "mail a.b@c.org")] * 3 + [(None, "10.0.0.1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r)[:2] for r in pii.pseudonymise(df, "k").collect()]
+    assert len(out) == 4 and len(set(out)) == 2 and not any("a.b@" in t or "10.0.0.1" in t for _, t in out)
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
 # ---------------------------------------------------------------- 3
 
 def brute_quality(text):
