@@ -6,10 +6,13 @@ import hashlib
 import random
 import re
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from strata.llm import conversation_trie, decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, spilling_queue, token_counts, tokens, warc
@@ -364,6 +367,59 @@ def test_wrappers_of_the_article_are_read():
     assert html_text.main_text("<div class=ad>" * 20_000 + "x") == "x"
 
 
+def test_article_text_is_whole():
+    text, short = " ".join(words(200, 1)), " ".join(words(30, 2))
+    links = "".join(f"<li><a href=x>link {i}</a></li>" for i in range(6))
+    listed = "\n".join(f"link {i}" for i in range(6))
+    assert html_text.main_text(f"<nav><ul>{links}</ul></nav><article><p>{text}</p></article><article><p>Second.</p></article>") == f"{text}\nSecond."
+    assert html_text.main_text(f"<article><p>{text}</p></article><section><article class=comment><p>{text}</p></article></section>") == text
+    assert html_text.main_text(f"<body><section><p>{text}</p></section><aside>x</aside><section><p>{short}</p></section>") == f"{text}\n{short}"
+    for wrap in ("<div>{}</div>", "<article>{}</article>"):
+        body = f"<h1>T</h1><p>{text}</p><ul>{links}</ul><p>End.</p><p class=alert>Mind this.</p><p class='market-share'>A third.</p><p>Press <button>OK</button> now</p><p><button>Share</button></p>"
+        page = f"<body><ul>{links}</ul><p class='cookie-notice'>{short}</p>{wrap.format(body)}<p class=alert>site</p><footer>f</footer>"
+        assert html_text.main_text(page) == f"T\n{text}\n{listed}\nEnd.\nMind this.\nA third.\nPress OK now", wrap
+    assert html_text.main_text(f"<div><a href=/>Home</a><p>{text}</p></div>") == text  # links before the text are a menu
+    assert html_text.main_text("<p>tie</p><nav>x</nav><div>tie</div>") == "tie"  # of equal regions under the height of a paragraph the first
+    assert html_text.main_text(f"<p><span class=widget>{text}</span></p>") == text
+
+
+@given(st.lists(st.integers(0, 3), max_size=30), st.integers(1, 4))
+def test_regions_match_brute_force(lengths, window):
+    sums = [sum(lengths[i:i + window]) for i in range(len(lengths))]
+    want = []
+    for i, n in enumerate(sums):
+        if n and (i == 0 or not sums[i - 1]):
+            dive = next((j for j in range(i, len(sums)) if not sums[j]), len(sums))
+            want.append((i, dive, max(sums[i:dive])))
+    assert html_text.regions(lengths, window) == want
+
+
+def test_given_pages_match_a_parser():
+    """Every page of the smallest scale against the standard library's parser, which takes the blocks inside <article>."""
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "li", "ul", "div", "article") else []
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "li", "ul", "div", "article") else []
+
+        def handle_data(self, data):
+            self.blocks[-1] += data if self.depth else ""
+
+    for page in pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"]).column(0).to_pylist():
+        parser = Article()
+        parser.feed(page)
+        parser.close()
+        assert html_text.main_text(page) == "\n".join(" ".join(b.split()) for b in parser.blocks if b.strip())
+
+
 def test_extract_text(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x", "mine"), (1, "u", "<p>é x", "mine"), (2, None, None, "m")], "page_id long, url string, html string, text string")
     out = html_text.extract_text(df)
