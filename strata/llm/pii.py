@@ -3,11 +3,14 @@
 A text's validated numbers and dates are replaced by values of the same
 format: card numbers keep their length, separators and Luhn validity, phone
 and social-security numbers and addresses keep their punctuation, dates stay
-real dates between 1900 and 2099.  Each replacement is a permutation of its
+real dates between 1900 and 2099, bank account numbers (IBAN) keep their
+country and their check.  Each replacement is a permutation of its
 format's values under the key, so equal values get equal pseudonyms in every
 document and different values different ones.  The letters and digits of an
 e-mail address's local part are permuted in the same way, each within its own
-class.
+class, and without regard to case, which is put back in its places.  Ten
+unbroken digits are a phone number if area and exchange begin with 2 to 9;
+numbers with another country's code keep their first two digits.
 
 The work is one pass over each text, without a shuffle.  Edge cases: a null
 text stays null with zero counts; an empty text stays empty; what looks like a
@@ -38,13 +41,19 @@ def session_key(spark: SparkSession) -> str:
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5})(?![0-9])"
 OTHER = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])|[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![0-9])|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}(?![0-9])"
 NUMBER = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+ABROAD = r"\+[2-9][0-9](?:[ .()-]{0,2}[0-9]){6,13}(?![0-9])"
+UNBROKEN = r"(?:\+?1)?[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z_]|[ .-][0-9])"
+YEAR = "(?:19|20)[0-9]{2}"
 # Candidates, tried in this order at each place; look-behinds keep a match from starting inside a longer run.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![0-9+])" + NUMBER,
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "phone": rf"(?<![0-9+]){NUMBER}|(?<![0-9A-Za-z+]){ABROAD}|(?<![0-9A-Za-z+_./-]){UNBROKEN}",
     "ssn": r"(?<![0-9])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9])",
+    # A date may follow another one behind a hyphen.
+    "date": rf"(?:(?<![0-9/.-])|(?<={YEAR}[-/.][0-9]{{2}}[-/.][0-9]{{2}}-)|(?<=[0-9]{{2}}[-/.][0-9]{{2}}[-/.]{YEAR}-))"
+            rf"(?:{YEAR}([-/.])[0-9]{{1,2}}\1[0-9]{{1,2}}|[0-9]{{1,2}}([-/.])[0-9]{{1,2}}\2{YEAR})(?![0-9])",
     # Up to six digits may belong to what is written like a card; any other grouping goes on until a card, a date or the like begins.
     "card": rf"(?<![0-9])(?:{CARD}(?:[ -](?!{CARD}|{OTHER}|{NUMBER})[0-9]{{1,6}}(?![0-9A-Za-z_%+@/-]|[.][0-9]))?"
             rf"|[0-9](?:[0-9]|[ -](?!{CARD}|{OTHER})[0-9]){{12,18}}(?![0-9]))",
@@ -93,11 +102,11 @@ def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
 
-def _refilled(match: Column, digits: Column) -> Column:
-    """``match`` with its digits replaced in order by ``digits``."""
+def _refilled(match: Column, digits: Column, places: str = "[0-9]") -> Column:
+    """``match`` with its digits (or other ``places``) replaced in order by ``digits``."""
 
     def step(s: Column, c: Column) -> Column:
-        digit = c.rlike("[0-9]")
+        digit = c.rlike(places)
         return F.struct(F.concat(s["out"], F.when(digit, F.substring(digits, s["k"] + 1, F.lit(1))).otherwise(c)).alias("out"),
                         (s["k"] + F.when(digit, 1).otherwise(0)).alias("k"))
 
@@ -139,15 +148,21 @@ def _card(match: Column, key: Column) -> Column:
 
 
 def _phone(match: Column, key: Column) -> Column:
-    """The ten digits are permuted as one number; a country code stays."""
+    """The ten digits are permuted as one number; the country code 1 stays, of another country's number the first two digits."""
 
-    def body(digits: Column) -> Column:
+    def abroad(digits: Column) -> Column:
+        n = F.length(digits) - 2
+        low = F.floor(n / 2).cast("int")
+        mixed = _permuted(_long(F.substring(digits, F.lit(3), n)), _power(n - low), _power(low), key, "phone")
+        return _refilled(match, F.concat(F.substring(digits, 1, 2), F.lpad(mixed.cast("string"), n, "0")))
+
+    def home(digits: Column) -> Column:
         value = _long(F.substring(digits, F.length(digits) - 9, F.lit(10)))
         mixed = _permuted(value, F.lit(1000000).cast("bigint"), F.lit(10000).cast("bigint"), key, "phone")
         new = _let(mixed, lambda v: F.lpad(v.cast("string"), 10, "0"))
         return _let(new, lambda d: _refilled(match, F.concat(F.when(F.length(digits) > 10, F.lit("1")).otherwise(F.lit("")), d)))
 
-    return _let(_digits(match), body)
+    return _let(_digits(match), lambda d: F.when(match.rlike("^[+][2-9]"), abroad(d)).otherwise(home(d)))
 
 
 def _ssn(match: Column, key: Column) -> Column:
@@ -170,7 +185,7 @@ def _ip(match: Column, key: Column) -> Column:
 
 
 def _date(match: Column, key: Column) -> Column:
-    """Year first, else day first, else month first where only that gives a date; the result is written the same way."""
+    """Year first, else day first, else month first where only that gives a date; the result is written the same way, without zeros if one is left out."""
 
     def body(p: Column) -> Column:
         def valid(y: Column, m: Column, d: Column) -> Column:
@@ -178,12 +193,15 @@ def _date(match: Column, key: Column) -> Column:
             last = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
             return (m >= 1) & (m <= 12) & (d >= 1) & (d <= last)
 
+        short = match.rlike("(^|[^0-9])[0-9]([^0-9]|$)")
+
         def moved(y: Column, m: Column, d: Column, order: str) -> Column:
             index = F.datediff(F.make_date(y, m, d), F.lit("1900-01-01").cast("date")).cast("bigint")
             mix = lambda v: _permuted(v, F.lit(DAY_ROWS).cast("bigint"), F.lit(DAY_COLUMNS).cast("bigint"), key, "date")
             walked = F.aggregate(F.sequence(F.lit(2), F.lit(WALKS)), mix(index), lambda v, i: F.when(v < N_DAYS, v).otherwise(mix(v)))
             at = F.date_add(F.lit("1900-01-01").cast("date"), walked.cast("int"))
-            return _let(F.date_format(at, order), lambda text: F.replace(text, F.lit("_"), sign))
+            text = F.when(short, F.date_format(at, order.replace("MM", "M").replace("dd", "d"))).otherwise(F.date_format(at, order))
+            return _let(text, lambda text: F.replace(text, F.lit("_"), sign))
 
         sign = F.regexp_extract(match, "([-/.])", 1)
         a, b, c = (F.get(p, k).cast("int") for k in range(3))
@@ -194,8 +212,8 @@ def _date(match: Column, key: Column) -> Column:
     return _let(F.split(match, "[-/.]"), body)
 
 
-def _email(match: Column, key: Column) -> Column:
-    """The local part's letters and digits, each within its class; even and odd places are the two halves."""
+def _scrambled(text: Column, key: Column, kind: str) -> Column:
+    """The letters and digits, each within its class; even and odd places are the two halves."""
     alphabets = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
 
     def step(chars: Column, i: Column) -> Column:
@@ -212,23 +230,59 @@ def _email(match: Column, key: Column) -> Column:
 
             return F.transform(chars, one)
 
-        return _let(_hash(key, F.lit("email"), i.cast("string"), F.size(chars).cast("string"), other), shifted)
+        return _let(_hash(key, F.lit(kind), i.cast("string"), F.size(chars).cast("string"), other), shifted)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.split(text, ""), step, lambda s: F.array_join(s, ""))
+
+
+def _email(match: Column, key: Column) -> Column:
+    """The local part in lower case is scrambled; capitals stay in their places."""
+    local = F.substring_index(match, "@", 1)
+    mixed = F.split(_scrambled(F.lower(local), key, "email"), "")
+    cased = F.zip_with(mixed, F.split(local, ""), lambda new, old: F.when(old.rlike("[A-Z]"), F.upper(new)).otherwise(new))
+    return F.concat(F.array_join(cased, ""), F.lit("@"), F.substring_index(match, "@", -1))
+
+
+def _iban(match: Column, key: Column) -> Column:
+    """The account part is scrambled and the two check digits are reckoned anew; a last group that is not part of the number stays."""
+
+    def rest(chars: Column) -> Column:
+        def step(v: Column, c: Column) -> Column:
+            n = F.conv(c, 36, 10).cast("int")
+            return (v * F.when(n > 9, 100).otherwise(10) + n) % 97
+
+        return F.aggregate(F.split(chars, ""), F.lit(0), step)
+
+    def moved(chars: Column) -> Column:
+        return F.concat(F.substring(chars, F.lit(5), F.length(chars)), F.substring(chars, 1, 4))
+
+    def plain(text: Column) -> Column:
+        return F.replace(text, F.lit(" "), F.lit(""))
+
+    def replaced(text: Column) -> Column:
+        country = F.substring(text, 1, 2)
+        account = _scrambled(_let(plain(text), lambda c: F.substring(c, F.lit(5), F.length(c))), key, "iban")
+        return _let(account, lambda a: _refilled(text, F.concat(country, F.lpad((98 - rest(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a), "[A-Z0-9]"))
+
+    def valid(text: Column) -> Column:
+        return F.length(plain(text)).between(15, 34) & (_let(moved(plain(text)), rest) == 1)
 
-    local = F.split(F.substring_index(match, "@", 1), "")
-    return F.concat(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), local, step, lambda s: F.array_join(s, "")), F.lit("@"), F.substring_index(match, "@", -1))
+    shorter = F.regexp_replace(match, " [A-Z0-9]{1,4}$", "")
+    return F.when(valid(match), _let(match, replaced)).when(valid(shorter), _let(
+        shorter, lambda t: F.concat(replaced(t), F.substring(match, F.length(t) + 1, F.length(match))))).otherwise(match)
 
 
 def kind_of(match: Column) -> Column:
     """Which pattern a match of them all comes from."""
-    return (F.when(F.contains(match, F.lit("@")), "email").when(match.rlike(r"^[0-9]+([.][0-9]+){3}$"), "ip")
-            .when(match.rlike(r"^([0-9]{4}([-/.])[0-9]{2}\2[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\3[0-9]{4})$"), "date")
+    return (F.when(F.contains(match, F.lit("@")), "email").when(match.rlike("^[A-Z]"), "iban").when(match.startswith("+"), "phone").when(match.rlike(r"^[0-9]+([.][0-9]+){3}$"), "ip")
+            .when(match.rlike(r"^([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\3[0-9]{4})$"), "date")
             .when(match.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
             .when(F.length(_digits(match)) < 12, "phone").otherwise("card"))
 
 
 def pseudonym(match: Column, key: Column) -> Column:
     """The pseudonym of one match; a match that fails its validation comes back as it is."""
-    rules = {"email": _email, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "card": _card}
+    rules = {"email": _email, "iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "card": _card}
 
     def body(kind: Column) -> Column:
         out = match

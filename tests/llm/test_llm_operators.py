@@ -122,6 +122,54 @@ def test_phones_of_any_digits_and_cards_beside_digits(spark):
     assert pii.pseudonymise(ten, "k").select("text").distinct().count() == 4000
 
 
+def brute_permuted(value, left, right, key, kind):
+    """The Feistel network in plain Python."""
+    a, b = divmod(value, right)
+    digest = lambda *parts: hashlib.sha256("|".join(parts).encode()).hexdigest()
+    for i in range(1, pii.ROUNDS + 1):
+        other, size = (b, left) if i % 2 == 0 else (a, right)
+        by = int(digest(key, digest(key, kind, str(i), str(size), str(other)))[:15], 16) % size
+        a, b = ((a + by) % left, b) if i % 2 == 0 else (a, (b + by) % right)
+    return a * right + b
+
+
+def test_pseudonyms_match_a_plain_feistel_network(spark):
+    import datetime
+
+    def date(y, m, d):
+        v = (datetime.date(y, m, d) - datetime.date(1900, 1, 1)).days
+        while True:
+            v = brute_permuted(v, 271, 270, "k", "date")
+            if v < 73049:
+                return datetime.date(1900, 1, 1) + datetime.timedelta(v)
+
+    home = lambda d: f"{brute_permuted(int(d), 10**6, 10**4, 'k', 'phone'):010d}"
+    abroad = lambda d: d[:2] + f"{brute_permuted(int(d[2:]), 10**(len(d[2:]) - len(d[2:]) // 2), 10**(len(d[2:]) // 2), 'k', 'phone'):0{len(d) - 2}d}"
+    a, b, c = date(2024, 1, 5), date(2024, 1, 6), date(1980, 5, 4)
+    f = home("2125550123")
+    g = abroad("442079460958")
+    cases = {
+        "2024-01-05-2024-01-06": f"{a}-{b}", "4/5/1980": f"{c.day}/{c.month}/{c.year}", "1980-5-4": f"{c.year}-{c.month}-{c.day}", "04.05.1980": f"{c:%d.%m.%Y}",
+        "31.2.1980 and 1.2.3": "31.2.1980 and 1.2.3", "call 2125550123 now": f"call {f} now", "212-555-0123": f"{f[:3]}-{f[3:6]}-{f[6:]}", "12125550123": "1" + f,
+        "1234567890 x2125550123 2125550123a": "1234567890 x2125550123 2125550123a", "+44 20 7946 0958": f"+{g[:2]} {g[2:4]} {g[4:8]} {g[8:]}", "+442079460958": "+" + g,
+        "10.0.0.1": ".".join(str(brute_permuted(10 << 24 | 1, 1 << 16, 1 << 16, "k", "ip") >> k & 255) for k in (24, 16, 8, 0)),
+    }
+    df = spark.createDataFrame(list(cases.items()), "text string, want string")
+    for row in pii.pseudonymise(df, "k").collect():
+        assert row.text == row.want
+
+
+def test_pseudonyms_of_accounts_and_cased_addresses(spark):
+    check = lambda s: int("".join(str(int(x, 36)) for x in s[4:] + s[:4])) % 97
+    rows = ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "pay DE89 3704 0044 0532 0130 00 NOW", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 33", "FR76 3000 6000 0112 3456 7890 189 TEXT",
+            "Bob@x.com", "bob@x.com", "BOB@x.com"]
+    new = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    assert new[0].replace(" ", "") == new[1] != rows[1] and check(new[1]) == 1 and new[1][:2] == "GB" and re.sub("[A-Z]", "A", re.sub("[0-9]", "9", new[0])) == re.sub("[A-Z]", "A", re.sub("[0-9]", "9", rows[0]))
+    assert new[2] == f"pay {' '.join(re.findall('.{1,4}', new[3]))} NOW" and check(new[3]) == 1 and new[3] != rows[3]
+    assert new[4] == rows[4] and new[5].endswith(" TEXT") and check(new[5][:-5].replace(" ", "")) == 1 and new[5] != rows[5]
+    assert new[6].lower() == new[7] == new[8].split("@")[0].lower() + "@x.com" != rows[7] and new[6][0].isupper() and new[6][1:] == new[7][1:]
+
+
 def test_pseudonym_key_is_required_on_a_cluster(spark):
     from types import SimpleNamespace
 
