@@ -264,7 +264,11 @@ def pack(df: DataFrame, text_col: str = "text", path: str | None = None, capacit
     shared = df.sparkSession.sparkContext.broadcast(Plan.of(configurations(histogram, capacity)[0]))
     earlier = Window.partitionBy(length).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(part, length, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
-    ranked = cuts.join(offsets, [part, length]).withColumn(rank, F.col(rank) + F.col(before)).select(*cuts.columns)
+    # One row per writing task, with the number of earlier pieces of every length at the place of the length.
+    own = F.map_from_entries(F.collect_list(F.struct(length, before)))
+    dense = F.transform(F.sequence(F.lit(1).cast("bigint"), F.lit(capacity).cast("bigint")), lambda n: F.try_element_at(F.col(before), n))
+    offsets = stage(offsets.groupBy(part).agg(own.alias(before)).select(part, dense.alias(before)), "offsets")
+    ranked = cuts.join(offsets, part).withColumn(rank, F.col(rank) + F.get(F.col(before), (F.col(length) - 1).cast("int"))).select(*cuts.columns)
     keep = [c for c in cuts.columns if c not in (part, rank)]
     schema = T.StructType([*[cuts.schema[c] for c in keep], T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
 
