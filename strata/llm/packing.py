@@ -248,6 +248,17 @@ def pieces(df: DataFrame, text_col: str = "text", path: str | None = None, capac
     return stage(df.select(*keep, text_col).mapInArrow(encode, schema), "pieces"), names
 
 
+def _dense(batches: Iterator[pa.RecordBatch], capacity: int, most: int = 256) -> Iterator[pa.RecordBatch]:
+    """Rows (writing task, list of (length, number)) with the number of every length from 1 to ``capacity`` in its place."""
+    for whole in batches:
+        for batch in (whole.slice(i, most) for i in range(0, whole.num_rows, most)):
+            entries = batch.column(1)
+            own, flat = np.zeros((len(entries), capacity), np.int64), entries.flatten()
+            own[np.repeat(np.arange(len(entries)), entries.value_lengths().to_numpy()), flat.field(0).to_numpy() - 1] = flat.field(1).to_numpy()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(entries) + 1) * capacity, pa.int32()), pa.array(own.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=batch.schema.names)
+
+
 def pack(df: DataFrame, text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
          with_ids: bool = False) -> DataFrame:
     """Pieces of ``df``'s texts with ``sequence_id`` and ``offset`` (names get leading underscores if they clash).
@@ -264,10 +275,8 @@ def pack(df: DataFrame, text_col: str = "text", path: str | None = None, capacit
     shared = df.sparkSession.sparkContext.broadcast(Plan.of(configurations(histogram, capacity)[0]))
     earlier = Window.partitionBy(length).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(part, length, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
-    # One row per writing task, with the number of earlier pieces of every length at the place of the length.
-    own = F.map_from_entries(F.collect_list(F.struct(length, before)))
-    dense = F.transform(F.sequence(F.lit(1).cast("bigint"), F.lit(capacity).cast("bigint")), lambda n: F.try_element_at(F.col(before), n))
-    offsets = stage(offsets.groupBy(part).agg(own.alias(before)).select(part, dense.alias(before)), "offsets")
+    listed = offsets.groupBy(part).agg(F.collect_list(F.struct(length, before)).alias(before))
+    offsets = stage(listed.mapInArrow(lambda batches: _dense(batches, capacity), listed.select(part, F.array(F.lit(0).cast("bigint")).alias(before)).schema), "offsets")
     ranked = cuts.join(offsets, part).withColumn(rank, F.col(rank) + F.get(F.col(before), (F.col(length) - 1).cast("int"))).select(*cuts.columns)
     keep = [c for c in cuts.columns if c not in (part, rank)]
     schema = T.StructType([*[cuts.schema[c] for c in keep], T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
