@@ -185,6 +185,17 @@ def test_a_crashed_write_leaves_the_older_snapshot(spark, tmp_root):
         store.read_partition("bronze", "t", {"etl_inserted": T2})
 
 
+def test_a_write_adds_no_shuffle(spark, tmp_root):
+    """Each file holds the rows of one partition of the table's last step, in their order."""
+    df = spark.range(1000).withColumn("b", F.col("id") % 50).repartition(4, "b").sortWithinPartitions("id")
+    store = SnapshotStore(spark, tmp_root)
+    record = store.stage(df, "silver", "t", T1)
+    files = store.staged(record).select("id", "b", F.input_file_name().alias("f")).toPandas().groupby("f")
+    kept = [(f["id"].tolist(), set(f["b"])) for _, f in files]
+    assert record.rows == 1000 and sum(len(b) for _, b in kept) == 50
+    assert all(ids == sorted(ids) for ids, _ in kept)
+
+
 def test_a_failed_rerun_leaves_the_earlier_rows(spark, tmp_root):
     store = SnapshotStore(spark, tmp_root)
     first = store.write_stamp(_frame(spark, T1, 3), "bronze", "t", T1)
