@@ -196,6 +196,23 @@ def test_a_write_adds_no_shuffle(spark, tmp_root):
     assert all(ids == sorted(ids) for ids, _ in kept)
 
 
+def test_the_fact_of_failed_writes_is_built_once(spark, monkeypatch):
+    """The broken and the unpublished attempts take the stored rows: only the first write reads the sources."""
+    from strata import queries
+    from tests.conftest import SF_SMALL
+
+    staged, stage = [], SnapshotStore.stage
+
+    def kept(self, df, *a, **k):
+        staged.append(df.inputFiles())
+        return stage(self, df, *a, **k)
+
+    monkeypatch.setattr(SnapshotStore, "stage", kept)
+    want = queries.q_fct_orders(spark, SF_SMALL)
+    assert queries.q_snapshot_failed_writes(spark, SF_SMALL).exceptAll(want).isEmpty()
+    assert [any("lineitem.parquet" in f for f in files) for files in staged] == [True, False, False, False]
+
+
 def test_a_failed_rerun_leaves_the_earlier_rows(spark, tmp_root):
     store = SnapshotStore(spark, tmp_root)
     first = store.write_stamp(_frame(spark, T1, 3), "bronze", "t", T1)
