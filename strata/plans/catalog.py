@@ -71,10 +71,11 @@ class Catalog:
     def write_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
         """Write ``df`` dealt and sorted by ``keys``, one file per bucket, and return the table.
 
-        One shuffle, now; joins by the same keys of tables with the same
-        number of buckets need none later.
+        One shuffle and one sort (the writer's own), now; joins by the same
+        keys of tables with the same number of buckets need no shuffle later.
+        A task holds a bucket while it sorts it, so their number has to grow
+        with the table.
         """
-        dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
-        (dealt.write.format("parquet").mode("errorifexists").option("path", path)
+        (df.repartition(buckets, *keys).write.format("parquet").mode("errorifexists").option("path", path)
          .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"{self.database}.{table}"))
         return self.spark.table(f"{self.database}.{table}")

@@ -37,6 +37,11 @@ class HadoopFiles:
                 found.append((name, status.getLen()))
         return sorted(found)
 
+    def size(self, path: str) -> int:
+        """Bytes of a file, or of all files under a directory."""
+        where, files = self._at(path)
+        return files.getContentSummary(where).getLength()
+
     def read_text(self, path: str) -> str:
         where, files = self._at(path)
         stream = files.open(where)

@@ -24,6 +24,7 @@ from strata.operators import silver as S
 from strata.operators.references import Reference, orphan_counts
 from strata.operators.suite import load_suite, suite_report
 from strata.plans.catalog import Catalog
+from strata.plans.hadoop_files import HadoopFiles
 from strata.plans.pipeline import RunContext, Runner, run_pipeline
 from strata.plans.snapshots import SnapshotStore
 from strata.schemas import SOURCE_REFERENCES, SOURCE_TABLES, STAMP
@@ -354,15 +355,20 @@ def q_marketing_view_by_name(spark, sf_dir):
     return spark.newSession().table(name)
 
 
-# Buckets of the co-partitioned tables here; at scale as many as bring a bucket to some hundred MB.
-BUCKETS = 8
+# Buckets of the co-partitioned tables: as many as bring a bucket of lines to so many bytes of their files (some hundred
+# MB when a task sorts it), eight at least and at most as many as Spark allows.
+BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 8, 100_000, 8 << 20
+
+
+def bucket_count(file_bytes: int) -> int:
+    return min(MOST_BUCKETS, max(BUCKETS, -(-file_bytes // BUCKET_BYTES)))
 
 
 def _bucketed_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     root, src = scratch_dir(spark, "buckets"), _src(spark, sf_dir)
-    catalog = _catalog(spark, root)
-    return (catalog.write_bucketed(src.table("orders"), "orders", ["o_orderkey"], BUCKETS, root + "/orders"),
-            catalog.write_bucketed(src.table("lineitem"), "lineitem", ["l_orderkey"], BUCKETS, root + "/lineitem"))
+    catalog, buckets = _catalog(spark, root), bucket_count(HadoopFiles(spark).size(f"{src.sf_dir}/lineitem.parquet"))
+    return (catalog.write_bucketed(src.table("orders"), "orders", ["o_orderkey"], buckets, root + "/orders"),
+            catalog.write_bucketed(src.table("lineitem"), "lineitem", ["l_orderkey"], buckets, root + "/lineitem"))
 
 
 def q_fct_orders_bucketed(spark, sf_dir):

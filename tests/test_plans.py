@@ -160,6 +160,24 @@ def test_bucketed_orders_and_lines_join_without_a_shuffle(spark):
     assert "Exchange" not in per_order
 
 
+def test_buckets_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    """A bucket, and with it the task that sorts it, keeps its size; both tables have the same number of buckets."""
+    from strata import queries
+
+    assert [queries.bucket_count(n) for n in (0, 64 << 20, 648 << 20, 4 << 30, 1 << 60)] == [8, 8, 81, 512, 100_000]
+    monkeypatch.setattr(queries, "BUCKET_BYTES", 8 << 10)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fct = queries.q_fct_orders_bucketed(spark, SF_SMALL)
+        plan, rows = _plan(fct), fct.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    n = int(re.search(r"SelectedBucketsCount: (\d+) out of", plan).group(1))
+    assert n > queries.BUCKETS and plan.count(f"SelectedBucketsCount: {n} out of {n}") == 2 and "Exchange" not in plan
+    assert rows == queries.q_fct_orders(spark, SF_SMALL).count()
+
+
 def test_catalog_names_follow_the_published_stamp(spark, tmp_root):
     from strata.plans.catalog import Catalog
     from strata.plans.snapshots import SnapshotStore
