@@ -100,12 +100,15 @@ def dim_part(
     The declared key is ``part_key`` but it is not unique: a part has one row
     per partsupp entry.  ``with_supplier_key`` adds ``supplier_key`` so a
     fact can join at its own grain, (part, supplier).
+
+    Suppliers are joined to the offers' few columns first, so the parts' wide
+    rows travel by the part key alone.
     """
     pt = part_transformed(part)
     ps = partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost", "ps_availqty")
     se = supplier_enriched(supplier, nation, region)
-    joined = pt.join(ps, F.col("part_key") == F.col("ps_partkey"), "left").join(
-        se, F.col("ps_suppkey") == F.col("s_suppkey"), "left")
+    offers = ps.join(se, F.col("ps_suppkey") == F.col("s_suppkey"), "left")
+    joined = pt.join(offers, F.col("part_key") == F.col("ps_partkey"), "left")
     cols = [
         *PART_COLUMNS,
         F.col("ps_supplycost").alias("supply_cost"),

@@ -178,6 +178,20 @@ def test_buckets_grow_with_the_lines(spark, tmp_path, monkeypatch):
     assert rows == queries.q_fct_orders(spark, SF_SMALL).count()
 
 
+def test_parts_travel_by_their_own_key_alone(spark):
+    """Suppliers join the offers' few columns, not rows that carry the part's names already."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = QUERIES["dim_part"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (scan,) = [i for i, l in enumerate(lines) if "FileScan parquet" in l and "p_name" in l]
+    assert sum("Exchange hashpartitioning" in a for a in _ancestors(lines, scan)) == 1
+
+
 def test_catalog_names_follow_the_published_stamp(spark, tmp_root):
     from strata.plans.catalog import Catalog
     from strata.plans.snapshots import SnapshotStore
