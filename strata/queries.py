@@ -97,8 +97,8 @@ def q_wide_order_details(spark, sf_dir):
 
 
 def q_wide_order_details_at_grain(spark, sf_dir):
-    fo, dc, dp = _silver(spark, sf_dir, partsupp="lines")
-    return G.wide_order_details(fo, dc, dp, RUN_TS, "part_supplier")
+    src = _src(spark, sf_dir, partsupp="lines")
+    return G.wide_order_details_from_sources(src.table("orders"), src.table("lineitem"), _dim_customer(src), _dim_part(src), RUN_TS)
 
 
 def _lines(spark, sf_dir, via: str):
@@ -378,11 +378,10 @@ def q_fct_orders_bucketed(spark, sf_dir):
 
 def q_wide_order_details_misses(spark, sf_dir):
     """The grain join over offers that cover few of the sold (part, supplier) pairs: most lines stay without a part."""
-    fo, dc, _ = _silver(spark, sf_dir)
     src = _src(spark, sf_dir)
     dp = S.dim_part(src.table("part"), src.table("partsupp"), src.table("supplier"), src.table("nation"), src.table("region"), RUN_TS,
                     with_supplier_key=True)
-    return G.wide_order_details(fo, dc, dp, RUN_TS, "part_supplier")
+    return G.wide_order_details_from_sources(src.table("orders"), src.table("lineitem"), _dim_customer(src), dp, RUN_TS)
 
 
 QUERIES: dict[str, Query] = {

@@ -192,6 +192,37 @@ def test_parts_travel_by_their_own_key_alone(spark):
     assert sum("Exchange hashpartitioning" in a for a in _ancestors(lines, scan)) == 1
 
 
+def test_the_wide_table_at_grain_shuffles_the_lines_twice(spark):
+    """By offer as bare lines, and by order with the names of the part; customers travel with the orders."""
+    for name in ("wide_order_details_at_grain", "wide_order_details_misses"):
+        assert _line_exchanges(spark, name) == 2, name
+
+
+def test_the_wide_table_from_sources_is_that_of_the_fact(spark):
+    """With keys that are null, repeat or lead nowhere on every side."""
+    from pyspark.sql import functions as F
+
+    from strata.operators import gold as G
+    from strata.operators import silver as S
+    from strata.sources import FixtureSource
+
+    src = FixtureSource(spark, SF_SMALL, "lines")
+
+    def odd(df, *keys):
+        for i, k in enumerate(keys):
+            df = df.withColumn(k, F.when(F.col(k) % 11 != i, F.col(k)))
+        return df.unionByName(df.where(F.col(keys[-1]) % 3 == 0))
+
+    lines, orders = odd(src.table("lineitem"), "l_orderkey", "l_partkey", "l_suppkey"), odd(src.table("orders"), "o_orderkey", "o_custkey")
+    geo = src.table("nation"), src.table("region")
+    customers = S.dim_customer(odd(src.table("customer"), "c_custkey"), *geo, "t")
+    parts = S.dim_part(odd(src.table("part"), "p_partkey"), odd(src.table("partsupp"), "ps_partkey", "ps_suppkey"), odd(src.table("supplier"), "s_suppkey"), *geo, "t", with_supplier_key=True)
+    want = G.wide_order_details(S.fct_orders(orders, lines, "t"), customers, parts, "t", "part_supplier")
+    got = G.wide_order_details_from_sources(orders, lines, customers, parts, "t")
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty()
+
+
 def test_catalog_names_follow_the_published_stamp(spark, tmp_root):
     from strata.plans.catalog import Catalog
     from strata.plans.snapshots import SnapshotStore
