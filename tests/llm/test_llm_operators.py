@@ -187,6 +187,14 @@ def test_pseudonyms_of_an_empty_table_and_repeated_rows(spark):
     assert pii.pseudonymise(df.limit(0), "k").count() == 0
 
 
+def test_pseudonym_of_an_address_of_many_labels(spark):
+    """A domain of any length is matched without a call for each label, which ended the JVM."""
+    domain = ".".join(["ab"] * 20_000)
+    new = pii.pseudonymise(spark.createDataFrame([(1, f"x@{domain} and bob@{domain}")], "doc_id long, text string"), "k").first()
+    assert [r.kind for r in new.replaced] and {r.kind for r in new.replaced} == {"email"}
+    assert new.text.count(f"@{domain}") == 2 and not new.text.endswith(f"bob@{domain}")
+
+
 # ---------------------------------------------------------------- 3
 
 def brute_quality(text):
