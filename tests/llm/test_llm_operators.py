@@ -16,7 +16,7 @@ from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from strata.llm import conversation_trie, decontamination, hard_negatives, html_text, license_scan, line_dedup, packing, pii, quality_rules, secret_scan, simhash, spilling_queue, token_counts, tokens, warc
-from strata.llm.common import placed, stage
+from strata.llm.common import Scratch, placed, stage
 from strata.llm.components import components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -655,6 +655,24 @@ def test_line_dedup(spark, most, first_few):
     assert line_dedup.dedup_lines(twice.limit(0)).count() == 0
 
 
+def test_line_dedup_table_grows_with_what_it_holds(spark, monkeypatch):
+    """However many sets may match, few others are found in the table of possible matches."""
+    monkeypatch.setattr(line_dedup, "POSSIBLE_BITS", 10)
+    r = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(900)]
+    lines = [r.sample(vocabulary, 14) for _ in range(400)]
+    texts = [(2 * i + k, " ".join([*x, f"e{k}"])) for i, x in enumerate(lines) for k in range(2)]
+    df = stage(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), "t")
+    frequency = spark.sparkContext.broadcast(line_dedup.frequencies(df.select("text")))
+    with Scratch(spark) as scratch:
+        table = line_dedup.possible_matches(df.select("text"), frequency, scratch)
+    n_set, n_bits = int(np.bitwise_count(table).sum()), table.size * 64
+    assert n_set >= 2 * len(lines) and 8 * n_set < n_bits
+    others = np.random.default_rng(1).integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    assert line_dedup._has(table, others).mean() < 0.02
+    assert [x.n_removed for x in line_dedup.dedup_lines(df).orderBy("doc_id").collect()] == [0, 1] * len(lines)
+
+
 def test_line_dedup_of_many_lines_of_one_template(spark):
     """A third of all lines and more are of one template: short ones that differ in a word match none, long ones match the first; no pairs are made."""
     import time
