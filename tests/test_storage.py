@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal
 
 import pytest
@@ -55,6 +56,29 @@ def test_rewriting_a_stamp_is_idempotent(spark, tmp_root):
     assert store.read_partition("silver", "t", {"etl_inserted": T1}).count() == 3  # other stamp kept
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_root):
+    """What a table was built with goes once it is written, while the session goes on; later tables need the disk."""
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").split("|") if "/shuffle_" in f}
+    store, before = SnapshotStore(spark, tmp_root), files()
+    record = store.write_stamp(spark.range(20_000).repartition(7, "id").withColumn("etl_inserted", F.lit(T1)), "silver", "t", T1)
+    for _ in range(40):  # Spark's cleaner has a thread of its own
+        if not files() - before:
+            break
+        time.sleep(0.5)
+    assert record.rows == 20_000 and not files() - before
+    assert store.read_latest("silver", "t").count() == 20_000
+
+
+def test_stored_files_are_packed_whatever_the_session_writes(spark, tmp_root):
+    codec = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    try:
+        records = [SnapshotStore(spark, f"{tmp_root}/{x.get('compression')}", **x).write_stamp(_frame(spark, T1, 3), "bronze", "t", T1) for x in ({}, {"compression": "gzip"})]
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", codec)
+    assert all(f.endswith(".zstd.parquet") for f, _ in records[0].files) and all(f.endswith(".gz.parquet") for f, _ in records[1].files)
+
+
 def test_multi_key_partitions(spark, tmp_root):
     store = SnapshotStore(spark, tmp_root)
     df = spark.createDataFrame([(1, "a", "x", T1), (2, "b", "y", T1)], "k long, v string, region string, etl_inserted string")
